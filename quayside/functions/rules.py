@@ -39,10 +39,13 @@ _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
 class Outcome(NamedTuple):
-    """Converted value, and whether the input fitted the rule (NULL always fits)."""
+    """Converted value, and whether the input fitted the rule (NULL always fits).
+
+    ``ok`` is None where every input fits.
+    """
 
     value: Column
-    ok: Column
+    ok: Column | None = None
 
 
 class UnsupportedColumn(TypeError):
@@ -87,7 +90,7 @@ def apply_rule(
     if family == "date":
         return _text_rule(rule, c, dtype, int96_noon)
     if family == "text":
-        return Outcome(text_of(c), F.lit(True))
+        return Outcome(text_of(c))
     value = _typed_rule(family, rule, c, dtype, decimal, int96_noon)
     return Outcome(value, c.isNull() | value.isNotNull())
 
@@ -98,12 +101,12 @@ def apply_rule(
 def _text_rule(rule: str, c: Column, dtype: T.DataType, noon: bool) -> Outcome:
     v = text_of(c)
     if isinstance(dtype, _TEMPORAL):
-        return Outcome(_temporal_text(rule, c, dtype, noon), F.lit(True))
+        return Outcome(_temporal_text(rule, c, dtype, noon))
     if rule == "date7":
-        return Outcome(F.replace(F.replace(v, F.lit("'")), F.lit("\0")), F.lit(True))
+        return Outcome(F.replace(F.replace(v, F.lit("'")), F.lit("\0")))
     if rule == "date8":
         flag = F.when(_has(v, "N"), "0").when(_has(v, "Y"), "1").otherwise(v)
-        return Outcome(flag, F.lit(True))
+        return Outcome(flag)
     if rule == "date4":  # text never holds a decoded timestamp
         return Outcome(v, v.isNull())
     if rule == "date1":
@@ -124,7 +127,7 @@ def _text_rule(rule: str, c: Column, dtype: T.DataType, noon: bool) -> Outcome:
         second = _leading_seconds(v)
         fits, value = second.isNotNull(), text_of(F.timestamp_seconds(second))
     else:
-        return Outcome(v, F.lit(True))
+        return Outcome(v)
     return Outcome(F.when(fits, value).otherwise(v), v.isNull() | fits)
 
 
@@ -176,7 +179,7 @@ def _typed_rule(
         return (
             F.when(_has(v, "N"), F.lit(0).cast("tinyint"))
             .when(_has(v, "Y"), F.lit(1).cast("tinyint"))
-            .otherwise(to_long(c, dtype).try_cast("tinyint"))
+            .otherwise(to_byte(c, dtype))
         )
     # datum family
     if rule == "datum3":
@@ -212,6 +215,15 @@ def to_long(c: Column, dtype: T.DataType) -> Column:
     return F.when(v.rlike(INTEGER), v.try_cast("bigint"))
 
 
+def to_byte(c: Column, dtype: T.DataType) -> Column:
+    """As ``to_long``, within one byte.
+
+    By range: casting text straight to tinyint costs an exception per misfit.
+    """
+    n = to_long(c, dtype)
+    return F.when(n.between(-128, 127), n.cast("tinyint"))
+
+
 def to_second(c: Column, dtype: T.DataType) -> Column:
     """First 19 characters as ``yyyy-M-d H:m:s``.
 

@@ -6,7 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .rules import DEFAULT_DECIMAL, INTEGER, Outcome, text_of, to_decimal, to_second
+from .rules import (
+    DEFAULT_DECIMAL,
+    INTEGER,
+    Outcome,
+    text_of,
+    to_byte,
+    to_decimal,
+    to_second,
+)
 
 # Vendor type names whose text passes through double to decimal.
 DECIMAL_TYPES = frozenset(
@@ -35,7 +43,7 @@ def coerce(
     name = base_type(vendor_type)
     v = text_of(c)
     if name in ("BIT", "TINYINT"):
-        value = F.when(v.rlike(INTEGER), v.try_cast("tinyint")).cast("bigint")
+        value = to_byte(c, dtype).cast("bigint")
     elif name == "INT8":
         trimmed = F.trim(v)
         number = F.when(trimmed.rlike(INTEGER), trimmed.try_cast("bigint"))
@@ -47,5 +55,5 @@ def coerce(
     else:
         # national strings, geometries and every other type travel as text,
         # which the database driver converts
-        return Outcome(v, F.lit(True))
+        return Outcome(v)
     return Outcome(value, c.isNull() | value.isNotNull())

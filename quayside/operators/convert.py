@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from ..functions.rules import (
@@ -33,7 +32,7 @@ def convert(
     ``target`` gives the precision of ``numeric`` columns.
     """
     outcomes = convert_outcomes(df, rules, target, int96_noon)
-    return df.select([o.value.alias(name) for name, o in outcomes.items()])
+    return df.select(values(outcomes))
 
 
 def convert_outcomes(
@@ -56,7 +55,7 @@ def convert_outcomes(
             )
         else:
             value = null_text(c) if isinstance(field.dataType, T.StringType) else c
-            outcomes[field.name] = Outcome(value, F.lit(True))
+            outcomes[field.name] = Outcome(value)
     return outcomes
 
 
@@ -75,13 +74,16 @@ def bulk_outcomes(
         require_scalar(field)
         c, rule = quoted(field.name), by_column.get(field.name)
         if rule is None:
-            outcome = Outcome(null_text(text_of(c)), F.lit(True))
+            outcome = Outcome(null_text(text_of(c)))
         elif rule_family(rule) == "date":
             outcome = apply_rule(rule, c, field.dataType, int96_noon=int96_noon)
         else:
-            outcome = Outcome(text_of(c), F.lit(True))
-        unbroken = outcome.value.isNull() | ~outcome.value.rlike(r"[\t\r\n]")
-        outcomes[field.name] = Outcome(outcome.value, outcome.ok & unbroken)
+            outcome = Outcome(text_of(c))
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            unbroken = outcome.value.isNull() | ~outcome.value.rlike(r"[\t\r\n]")
+            ok = unbroken if outcome.ok is None else outcome.ok & unbroken
+            outcome = Outcome(outcome.value, ok)
+        outcomes[field.name] = outcome
     return outcomes
 
 
@@ -92,7 +94,7 @@ def coerce_to_target(
 ) -> DataFrame:
     """Coerce every column to what its destination's vendor type takes."""
     outcomes = coerce_outcomes(df, vendor_types, target)
-    return df.select([o.value.alias(name) for name, o in outcomes.items()])
+    return df.select(values(outcomes))
 
 
 def coerce_outcomes(
@@ -115,6 +117,10 @@ def coerce_outcomes(
     return outcomes
 
 
+def values(outcomes: Mapping[str, Outcome]) -> list[Column]:
+    return [o.value.alias(name) for name, o in outcomes.items()]
+
+
 def decimal_of(target: T.StructType | None, name: str) -> T.DecimalType:
     for field in target or ():
         if field.name.lower() == name.lower() and isinstance(field.dataType, T.DecimalType):

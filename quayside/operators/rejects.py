@@ -3,35 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import Outcome
-from .convert import convert_outcomes
+from .convert import convert_outcomes, values
 
 FAILED = "failed_columns"
 
 
-def judge(
-    df: DataFrame, outcomes: Mapping[str, Outcome], keep_source: bool = True
-) -> DataFrame:
-    """Converted ``row``, the names of the columns that failed, and the ``source`` row."""
-    failed = [F.when(~o.ok, F.lit(name)) for name, o in outcomes.items()]
-    return df.select(
-        F.struct([o.value.alias(name) for name, o in outcomes.items()]).alias("row"),
-        F.array_compact(F.array(failed)).alias(FAILED),
-        *([F.struct("*").alias("source")] if keep_source else []),
+def fits(outcomes: Mapping[str, Outcome]) -> Column:
+    """True if every value of the row fits its rule."""
+    return reduce(Column.__and__, [o.ok for o in outcomes.values() if o.ok is not None], F.lit(True))
+
+
+def failed_columns(outcomes: Mapping[str, Outcome]) -> Column:
+    """Names of the columns that do not fit.
+
+    Built by ``concat`` and not by filtering an array: a lambda would take the
+    whole conversion out of generated code.
+    """
+    none = F.array().cast("array<string>")
+    return F.concat(
+        none,
+        *[
+            F.when(o.ok, none).otherwise(F.array(F.lit(name)))
+            for name, o in outcomes.items()
+            if o.ok is not None
+        ],
     )
 
 
-def good_rows(judged: DataFrame) -> DataFrame:
-    return judged.where(F.size(FAILED) == 0).select("row.*")
+def good_rows(df: DataFrame, outcomes: Mapping[str, Outcome]) -> DataFrame:
+    """Converted rows without a failing column."""
+    return df.where(fits(outcomes)).select(values(outcomes))
 
 
-def rejected_rows(judged: DataFrame) -> DataFrame:
-    return judged.where(F.size(FAILED) > 0).select("source.*", FAILED)
+def rejected_rows(df: DataFrame, outcomes: Mapping[str, Outcome]) -> DataFrame:
+    """Original rows with their failing columns."""
+    return df.where(~fits(outcomes)).withColumn(FAILED, failed_columns(outcomes))
 
 
 def split_rejects(
@@ -40,6 +53,6 @@ def split_rejects(
     target: T.StructType | None = None,
     int96_noon: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(good, rejects)``: converted rows, and original rows with their failing columns."""
-    judged = judge(df, convert_outcomes(df, rules, target, int96_noon))
-    return good_rows(judged), rejected_rows(judged)
+    """``(good, rejects)``: every row of ``df`` is in exactly one of them."""
+    outcomes = convert_outcomes(df, rules, target, int96_noon)
+    return good_rows(df, outcomes), rejected_rows(df, outcomes)

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from ..functions.rules import Outcome
 from ..operators.align import align, with_constants
-from ..operators.convert import bulk_outcomes, coerce_to_target, convert_outcomes
-from ..operators.rejects import FAILED, good_rows, judge, rejected_rows
+from ..operators.convert import bulk_outcomes, coerce_to_target, convert_outcomes, values
+from ..operators.rejects import fits, rejected_rows
 from ..sources.files import escape_glob, scan_parquet
 from ..spec import Hook, LoadSpec, resolve_path
 from ..streaming.ledger import Ledger
@@ -73,8 +73,7 @@ def transform(df: DataFrame, spec: LoadSpec, schema: T.StructType) -> DataFrame:
     """Source rows as the destination takes them, nothing rejected."""
     aligned = align(df, schema, spec.order)
     outcomes = row_outcomes(aligned, spec, schema)
-    converted = aligned.select([o.value.alias(name) for name, o in outcomes.items()])
-    return with_constants(converted, spec.constants, spec.run_date)
+    return with_constants(aligned.select(values(outcomes)), spec.constants, spec.run_date)
 
 
 def row_outcomes(aligned: DataFrame, spec: LoadSpec, schema: T.StructType) -> dict[str, Outcome]:
@@ -138,27 +137,28 @@ def _load_wave(
     aligned = align(wave.rows, schema, spec.order)
     outcomes = row_outcomes(aligned, spec, schema)
     observed = Observation()
-    # the reject filter cannot move below the observation, so it reads the
-    # finished conversion and does not repeat it
-    judged = judge(aligned, outcomes, keep_source=False).observe(
-        observed,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.size(FAILED) > 0).alias("rejected"),
-    )
-    keep_all = spec.rejects_path is None
-    good = judged.select("row.*") if keep_all else good_rows(judged)
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if spec.rejects_path is None:
+        good = aligned.select(values(outcomes)).observe(observed, *counts)
+    else:
+        # the filter cannot move below the observation, so it reads the finished
+        # conversion and does not repeat it
+        judged = aligned.select(
+            F.struct(values(outcomes)).alias("row"), fits(outcomes).alias("fits")
+        )
+        counts.append(F.count_if(~F.col("fits")).alias("rejected"))
+        good = judged.observe(observed, *counts).where("fits").select("row.*")
     target.write(
         with_constants(good, spec.constants, spec.run_date),
         batch_size=spec.insert_batch_size,
         parallelism=spec.submit_thread_count,
     )
-    counts = observed.get
-    rejected = 0 if keep_all else counts["rejected"]
+    rows, rejected = observed.get["rows"], observed.get.get("rejected", 0)
     if rejected:
-        rejected_rows(judge(aligned, outcomes)).write.mode("append").parquet(spec.rejects_path)
-    report.rows_read += counts["rows"]
+        rejected_rows(aligned, outcomes).write.mode("append").parquet(spec.rejects_path)
+    report.rows_read += rows
     report.rows_rejected += rejected
-    report.rows_written += counts["rows"] - rejected
+    report.rows_written += rows - rejected
 
 
 # -- table to table -----------------------------------------------------------

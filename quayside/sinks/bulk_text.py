@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.align import quoted, with_constants
 from ..operators.convert import bulk_outcomes
-from ..operators.rejects import good_rows, judge, rejected_rows
+from ..operators.rejects import good_rows, rejected_rows
 from ..spec import Constant
 
 
@@ -25,9 +25,9 @@ def split_bulk(
     int96_noon: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(lines, rejects)``: one ``value`` per row, and the rows a line cannot hold."""
-    judged = judge(df, bulk_outcomes(df, rules, int96_noon))
-    good = with_constants(good_rows(judged), constants, run_date)
-    return bulk_lines(good), rejected_rows(judged)
+    outcomes = bulk_outcomes(df, rules, int96_noon)
+    good = with_constants(good_rows(df, outcomes), constants, run_date)
+    return bulk_lines(good), rejected_rows(df, outcomes)
 
 
 def bulk_lines(df: DataFrame) -> DataFrame:
