@@ -10,7 +10,8 @@ from .operators import (
     suggest_rules,
     with_constants,
 )
-from .plans import LoadReport, copy_table, run
+from .plans import LoadReport, copy_table, run, run_params
+from .session import configure
 from .sinks import split_bulk, write_bulk_text
 from .sources import list_files, scan_parquet, select_files, source_stats
 from .spec import LoadSpec, parse_constants, parse_map, resolve_path
@@ -27,6 +28,7 @@ __all__ = [
     "align",
     "as_text",
     "coerce_to_target",
+    "configure",
     "convert",
     "copy_table",
     "ingest_files",
@@ -37,6 +39,7 @@ __all__ = [
     "read_text_ledger",
     "resolve_path",
     "run",
+    "run_params",
     "scan_parquet",
     "select_files",
     "shift_date",

@@ -22,10 +22,17 @@ from pyspark.sql import types as T
 # before a trailing line break.
 FAMILIES = ("date", "timestamp", "numeric", "bigint", "datum", "binary", "bit")
 INTEGER = r"^[+-]?[0-9]+\z"
-MONTH_DAY = r"(0?[1-9]|1[0-2])-(0?[1-9]|[12][0-9]|3[01])"
-ISO_DATE = rf"^[0-9]{{4}}-{MONTH_DAY}\z"
-ISO_DATE_TIME = (
-    rf"^[0-9]{{4}}-{MONTH_DAY} [+-]?[0-9]+:[+-]?[0-9]+:[+-]?[0-9]+(\.[0-9]{{1,9}})?\z"
+MONTH = r"[0-9]{4}-(0?[1-9]|1[0-2])"
+FRACTION = r"(\.[0-9]{1,9})?"
+ANY_DATE = rf"^{MONTH}-(0?[1-9]|[12][0-9]|3[01])\z"
+ANY_SECOND = (
+    rf"^{MONTH}-(0?[1-9]|[12][0-9]|3[01]) [+-]?[0-9]+:[+-]?[0-9]+:[+-]?[0-9]+{FRACTION}\z"
+)
+# Dates that exist in every month, times within their range.
+PLAIN_DATE = rf"^{MONTH}-(0?[1-9]|1[0-9]|2[0-8])\z"
+PLAIN_SECOND = (
+    rf"^{MONTH}-(0?[1-9]|1[0-9]|2[0-8]) "
+    rf"([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]{FRACTION}\z"
 )
 # Days since 1970-01-01 that stay within the years 1 to 9999.
 FIRST_DAY, LAST_DAY = -719162, 2932896
@@ -71,7 +78,7 @@ def text_of(c: Column) -> Column:
 
 def null_text(c: Column) -> Column:
     """The text ``null`` in any case becomes NULL."""
-    return F.when(F.lower(c) != "null", c)
+    return F.when((F.octet_length(c) != 4) | (F.lower(c) != "null"), c)
 
 
 def apply_rule(
@@ -240,13 +247,19 @@ def to_second(c: Column, dtype: T.DataType) -> Column:
         F.lit(0), _part(whole, ":", 1), _part(whole, ":", 2),
         _part(whole, ":", 3).cast("decimal(18,6)"),
     )
-    fits = (F.length(v) >= 19) & t.rlike(ISO_DATE_TIME)
-    return F.when(fits, F.coalesce(t.try_cast("timestamp_ntz"), rolled))
+    # texts that cannot roll on are cast, the others are added up: a cast of
+    # 30 February would cost an exception per value
+    long_enough = F.length(v) >= 19
+    return F.when(long_enough & t.rlike(PLAIN_SECOND), t.try_cast("timestamp_ntz")).when(
+        long_enough & t.rlike(ANY_SECOND), rolled
+    )
 
 
 def to_day(v: Column) -> Column:
     """Text ``yyyy-M-d`` as DATE; a day beyond the month's end rolls on."""
-    return F.when(v.rlike(ISO_DATE), F.coalesce(v.try_cast("date"), _rolled_day(v)))
+    return F.when(v.rlike(PLAIN_DATE), v.try_cast("date")).when(
+        v.rlike(ANY_DATE), _rolled_day(v)
+    )
 
 
 def low_four_bytes(n: Column) -> Column:
@@ -258,7 +271,7 @@ def low_four_bytes(n: Column) -> Column:
 
 
 def _has(v: Column, letter: str) -> Column:
-    return F.contains(F.upper(v), F.lit(letter))
+    return F.contains(v, F.lit(letter)) | F.contains(v, F.lit(letter.lower()))
 
 
 def _part(v: Column, separator: str, index: int) -> Column:

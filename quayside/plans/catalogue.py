@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.shift import shift_date
 from ..operators.align import align, with_constants
 from ..operators.convert import coerce_to_target, convert
 from ..operators.profile import as_text, suggest_rules
 from ..operators.rejects import FAILED, split_rejects
-from ..functions.shift import shift_date
-from ..session import shared_dir
+from ..session import configure, shared_dir
 from ..sinks.bulk_text import split_bulk
 from ..sources.files import scan_parquet, select_files, source_stats
 from ..spec import LoadSpec
@@ -52,6 +52,7 @@ def query(sql: str) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    configure(spark)
     df = scan_parquet(spark, f"{sf}/{name}.parquet")
     return df.selectExpr(*columns) if columns else df
 

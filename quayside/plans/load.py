@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,11 @@ from ..functions.rules import Outcome
 from ..operators.align import align, with_constants
 from ..operators.convert import bulk_outcomes, coerce_to_target, convert_outcomes, values
 from ..operators.rejects import fits, rejected_rows
+from ..session import configured
 from ..sources.files import escape_glob, scan_parquet
 from ..spec import Hook, LoadSpec, resolve_path
 from ..streaming.ledger import Ledger
-from ..tables import Table, split_script
+from ..tables import JdbcTable, Table, split_script
 
 
 @dataclass
@@ -39,11 +41,23 @@ class Wave:
 
 def run(spark: SparkSession, spec: LoadSpec, target: Table, source: Table | None = None) -> LoadReport:
     """Run one load into an existing table; ``source`` is the table of a DB load."""
-    if spec.data_type == "DB":
-        if source is None:
-            raise ValueError("a DB load needs a source table")
-        return _run_copy(spark, spec, target, source)
-    return _run_files(spark, spec, target)
+    if spec.data_type == "DB" and source is None:
+        raise ValueError("a DB load needs a source table")
+    with configured(spark):
+        if spec.data_type == "DB":
+            return _run_copy(spark, spec, target, source)
+        return _run_files(spark, spec, target)
+
+
+def run_params(
+    spark: SparkSession, params: Mapping[str, Any], root: str = "", **settings: Any
+) -> LoadReport:
+    """Run a load from hyphenated parameters; ``settings`` are further ``LoadSpec`` fields."""
+    source = None
+    if params.get("data-type") == "DB":
+        source, settings["source_columns"] = JdbcTable.from_config(params["source-db-config"])
+    spec = LoadSpec.from_params(params, root=root, **settings)
+    return run(spark, spec, JdbcTable.from_params(params), source)
 
 
 def copy_table(
@@ -56,8 +70,12 @@ def copy_table(
     **read: object,
 ) -> None:
     """Append the columns two tables share; ``read`` goes to the source's ``read``."""
-    write_options = {"batch_size": batch_size, "parallelism": parallelism}
-    target.write(copied_rows(spark, source, target, columns, **read), **write_options)
+    with configured(spark):
+        target.write(
+            copied_rows(spark, source, target, columns, **read),
+            batch_size=batch_size,
+            parallelism=parallelism,
+        )
 
 
 def copied_rows(
@@ -105,7 +123,9 @@ def _run_files(spark: SparkSession, spec: LoadSpec, target: Table) -> LoadReport
                 schema = target.schema(spark)
             _load_wave(spec, target, schema, wave, report)
             if ledger is not None:
-                ledger.record(spark.createDataFrame([(p,) for p in wave.paths], "path string"))
+                ledger.record(
+                    spark.createDataFrame([(p,) for p in wave.paths], "path string").coalesce(1)
+                )
                 report.files_recorded += len(wave.paths)
     except Exception:
         if report.ran:

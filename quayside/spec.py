@@ -174,4 +174,7 @@ class LoadSpec:
         taken = {k: v for k, v in taken.items() if k in known}
         if isinstance(taken.get("date"), str):
             taken["date"] = datetime.fromisoformat(taken["date"])
+        for f in fields(cls):
+            if f.name in taken and f.type == "int":
+                taken[f.name] = int(taken[f.name])
         return cls(**{**taken, **extra})

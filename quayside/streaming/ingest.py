@@ -13,7 +13,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
+from ..session import configured
 from ..sources.files import name_glob, name_predicate
 from ..tables import Table
 
@@ -35,11 +37,11 @@ def stream_parquet(
 
 def ingest_files(rows: DataFrame, path: str, checkpoint: str) -> None:
     """Append what is available to a Parquet folder, exactly once."""
-    query = (
-        rows.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+    _drain(
+        rows.writeStream.format("parquet").option("path", path).outputMode("append")
+        .option("checkpointLocation", checkpoint),
+        rows.sparkSession,
     )
-    query.awaitTermination()
 
 
 def ingest_table(rows: DataFrame, table: Table, checkpoint: str, **write: Any) -> None:
@@ -47,9 +49,14 @@ def ingest_table(rows: DataFrame, table: Table, checkpoint: str, **write: Any) -
 
     A batch that failed half way is written again from its start.
     """
-    query = (
-        rows.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True)
-        .foreachBatch(lambda batch, _: table.write(batch, **write)).start()
+    _drain(
+        rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, _: table.write(batch, **write)),
+        rows.sparkSession,
     )
+
+
+def _drain(writer: DataStreamWriter, spark: SparkSession) -> None:
+    with configured(spark):  # the query keeps the settings it starts with
+        query = writer.trigger(availableNow=True).start()
     query.awaitTermination()

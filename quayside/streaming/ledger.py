@@ -78,19 +78,20 @@ class Manifest:
             rest = files.where((F.col("micros") > micros) | later)
 
 
-def last_status(entries: DataFrame) -> DataFrame:
-    """``path, status`` of the latest entry of each path."""
-    return entries.groupBy("path").agg(F.max_by("status", "completed_at").alias("status"))
+def complete_paths(entries: DataFrame) -> DataFrame:
+    """Paths whose latest entry is complete."""
+    # a flag, not the status text, keeps this a hash aggregation
+    latest = F.max_by(F.col("status") == COMPLETE, "completed_at")
+    return entries.groupBy("path").agg(latest.alias("complete")).where("complete").select("path")
 
 
 def pending_files(files: DataFrame, entries: DataFrame) -> DataFrame:
     """``files`` without those the ledger holds as complete.
 
-    Both sides are file lists of any length: no broadcast is forced, the
-    adaptive planner takes one where the ledger turns out small.
+    Both sides are file lists that grow with the data, and the ledger compresses
+    well enough to look small on disk, so they are merged and never broadcast.
     """
-    complete = last_status(entries).where(F.col("status") == COMPLETE)
-    return files.join(complete.select("path"), "path", "left_anti")
+    return files.join(complete_paths(entries).hint("merge"), "path", "left_anti")
 
 
 def read_text_ledger(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,9 +153,9 @@ class JdbcTable:
         )
         return row[0], row[1]
 
-    def writer(
-        self, df: DataFrame, batch_size: int, parallelism: int | None, commit: str
-    ) -> DataFrameWriter:
+    def write_options(
+        self, batch_size: int, parallelism: int | None, commit: str
+    ) -> dict[str, str]:
         if commit not in ("partition", "batch"):
             raise ValueError(f"commit must be 'partition' or 'batch', got {commit!r}")
         options = {**self.connection, "dbtable": self.table, "batchsize": str(batch_size)}
@@ -163,7 +163,7 @@ class JdbcTable:
             options["numPartitions"] = str(parallelism)
         if commit == "batch":
             options["isolationLevel"] = "NONE"
-        return df.write.format("jdbc").options(**options).mode("append")
+        return options
 
     def write(
         self,
@@ -180,7 +180,8 @@ class JdbcTable:
         transaction and a retried task starts clean; with ``commit="batch"``
         every batch commits by itself, and a retried task repeats its batches.
         """
-        self.writer(df, batch_size, parallelism, commit).save()
+        options = self.write_options(batch_size, parallelism, commit)
+        df.write.format("jdbc").options(**options).mode("append").save()
 
     def run(self, spark: SparkSession, statements: Sequence[str], run_date: date | None) -> None:
         """Run statements on the database over one connection, committing after each.

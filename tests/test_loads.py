@@ -1,0 +1,322 @@
+"""File selection, ledger, envelope and streams, on files and catalog tables."""
+
+from __future__ import annotations
+
+import os
+import shutil
+import uuid
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayside import (
+    CatalogTable,
+    Ledger,
+    LoadSpec,
+    align,
+    copy_table,
+    ingest_files,
+    list_files,
+    read_text_ledger,
+    run,
+    scan_parquet,
+    select_files,
+    source_stats,
+    stream_parquet,
+)
+from quayside.sources.files import name_glob
+from quayside.streaming.ledger import Manifest, pending_files
+
+RUN = datetime(2024, 3, 31, 10, 30, 0)
+NAMES = {
+    "a_103000_0.parquet": datetime(2024, 3, 31, 10, 29, 59),
+    "b_120000_0.parquet": datetime(2024, 3, 31, 10, 30, 0),
+    "c_230000.parquet": datetime(2024, 3, 30, 0, 0, 0),
+    "odd{1}[x]_090000_.parquet": datetime(2024, 4, 1, 0, 0, 0),
+    "d_SUCCESS_000000_.parquet": datetime(2024, 3, 1, 0, 0, 0),
+}
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """Five files of three rows: ``k`` counts on, ``v`` is a text with one misfit per file."""
+    source = tmp_path / "in"
+    source.mkdir()
+    for i, (name, modified) in enumerate(NAMES.items()):
+        add_file(spark, tmp_path, source / name, i, modified)
+    return source
+
+
+def add_file(spark, scratch, path, i, modified):
+    out = str(scratch / uuid.uuid4().hex)
+    rows = [(3 * i + j, "x" if j == 2 else f"{j}.5") for j in range(3)]
+    spark.createDataFrame(rows, "K bigint, v string").coalesce(1).write.parquet(out)
+    [part] = [p for p in os.listdir(out) if p.endswith(".parquet")]
+    shutil.copy(os.path.join(out, part), path)
+    seconds = (modified - datetime(1970, 1, 1)).total_seconds()
+    os.utime(path, (seconds, seconds))
+
+
+@pytest.fixture
+def target(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} (V DECIMAL(10,2), k BIGINT, dt STRING, spare INT) USING parquet")
+    return CatalogTable(name)
+
+
+def keys(spark, target):
+    return sorted(r.k for r in spark.table(target.table).collect())
+
+
+def names(df):
+    return sorted(r.name for r in df.select("name").collect())
+
+
+def spec(folder, tmp_path, **more):
+    settings = dict(
+        root=str(folder), date=RUN, with_log=2, ledger_path=str(tmp_path / "ledger"),
+        map_data_fields="v=numeric", custom_column="dt=?date",
+    )
+    return LoadSpec(**{**settings, **more})
+
+
+# -- selection ----------------------------------------------------------------
+
+
+def test_listing(spark, folder):
+    assert names(list_files(spark, str(folder))) == sorted(n for n in NAMES if "SUCCESS" not in n)
+    assert names(list_files(spark, str(folder), ["A_", "b_", "}[x"])) == [
+        "b_120000_0.parquet", "odd{1}[x]_090000_.parquet",
+    ]
+    assert name_glob([]) is None
+    assert name_glob(["a", "{"]) == r"{*a*,*\{*}"
+
+
+@pytest.mark.parametrize(
+    "mode, run_at, expected",
+    [
+        (0, RUN, 4), (2, RUN, 4), (1, None, 4), (3, None, 4),
+        (1, RUN, ["a_103000_0.parquet", "c_230000.parquet"]),
+        (4, RUN, ["a_103000_0.parquet", "c_230000.parquet"]),
+        (3, RUN, ["a_103000_0.parquet", "odd{1}[x]_090000_.parquet"]),
+        (3, datetime(2024, 3, 31, 23, 59, 59), [
+            "a_103000_0.parquet", "b_120000_0.parquet", "odd{1}[x]_090000_.parquet",
+        ]),
+    ],
+)
+def test_modes(spark, folder, mode, run_at, expected):
+    got = names(select_files(list_files(spark, str(folder)), mode, run_at))
+    assert (len(got) if isinstance(expected, int) else got) == expected
+    # the scan takes the same files, and opens no other
+    rows = scan_parquet(spark, str(folder), mode=mode, run_at=run_at)
+    assert rows.count() == 3 * len(got)
+    assert files_read(rows) == len(got)
+
+
+def files_read(df):
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    leaves = plan.collectLeaves()
+    return leaves.head().metrics().apply("numFiles").value()
+
+
+def test_source_stats(spark, folder):
+    stats = source_stats(scan_parquet(spark, str(folder)))
+    assert [r.row_count for r in stats.collect()] == [3] * 4
+    plan = stats._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_missing_columns_are_null_and_schemas_merge(spark, folder, tmp_path):
+    schema = "k bigint, v string, later int"
+    from pyspark.sql.types import _parse_datatype_string
+
+    df = scan_parquet(spark, str(folder), schema=_parse_datatype_string(schema))
+    assert df.where("later IS NULL").count() == 12
+
+
+# -- ledger -------------------------------------------------------------------
+
+
+def test_pending(spark):
+    files = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "path string")
+    entries = spark.sql(
+        """SELECT * FROM VALUES ('a', 'complete', TIMESTAMP'2024-01-01 00:00:00'),
+           ('b', 'complete', TIMESTAMP'2024-01-01 00:00:00'),
+           ('b', 'failed', TIMESTAMP'2024-01-02 00:00:00'),
+           ('c', 'failed', TIMESTAMP'2024-01-01 00:00:00'),
+           ('c', 'complete', TIMESTAMP'2024-01-02 00:00:00') AS t(path, status, completed_at)"""
+    )
+    pending = pending_files(files, entries)
+    assert sorted(r.path for r in pending.collect()) == ["b", "d"]
+    assert "Broadcast" not in pending._jdf.queryExecution().executedPlan().toString()
+
+
+def test_text_ledger(spark, tmp_path):
+    (tmp_path / "log.txt").write_text(
+        "/a\tcomplete;2024-01-01 00:00:00\n/b\tcomplete;2024-01-01 00:00:00\n/a\tstarted;2024-01-02 00:00:00\n"
+    )
+    entries = read_text_ledger(spark, str(tmp_path / "log.txt"))
+    assert sorted((r.path, r.status, r.completed_at.day) for r in entries.collect()) == [
+        ("/a", "started", 2), ("/b", "complete", 1),
+    ]
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 8, 100])
+def test_waves_hand_out_every_file_once(spark, tmp_path, size):
+    # many files share a modification time
+    listed = spark.range(23).selectExpr(
+        "concat('/f', id) path", "timestamp_seconds(id div 5) modified_at"
+    )
+    listed.write.parquet(str(tmp_path / "manifest"))
+    waves = list(Manifest(spark, str(tmp_path / "manifest")).waves(size))
+    assert all(len(w) <= size for w in waves)
+    assert sorted(sum(waves, [])) == sorted(f"/f{i}" for i in range(23))
+
+
+# -- envelope -----------------------------------------------------------------
+
+
+def test_second_run_loads_only_new_files(spark, folder, tmp_path, target):
+    report = run(spark, spec(folder, tmp_path), target)
+    assert (report.ran, report.rows_read, report.rows_written, report.files_recorded) == (True, 12, 12, 4)
+    assert not run(spark, spec(folder, tmp_path), target).ran
+    add_file(spark, tmp_path, folder / "late.parquet", 9, RUN)
+    assert run(spark, spec(folder, tmp_path), target).rows_written == 3
+    assert keys(spark, target) == [*range(12), 27, 28, 29]
+    row = spark.table(target.table).where("k = 0").first()
+    assert (str(row.V), row.dt, row.spare) == ("0.50", "2024-03-31", None)
+
+
+@pytest.mark.parametrize("wave_files", [1, 3])
+def test_waves_load_the_same(spark, folder, tmp_path, target, wave_files):
+    report = run(spark, spec(folder, tmp_path, wave_files=wave_files), target)
+    assert report.files_recorded == 4
+    assert keys(spark, target) == [*range(12)]
+
+
+def test_modes_reach_the_envelope(spark, folder, tmp_path, target):
+    run(spark, spec(folder, tmp_path, with_log=1), target)
+    assert keys(spark, target) == [0, 1, 2, 6, 7, 8]
+    run(spark, spec(folder, tmp_path, with_log=3), target)
+    assert keys(spark, target) == [0, 1, 2, 6, 7, 8, 9, 10, 11]
+
+
+def test_without_ledger_everything_loads_again(spark, folder, tmp_path, target):
+    for _ in range(2):
+        run(spark, spec(folder, tmp_path, with_log=0, file_filter="a_,b_"), target)
+    assert keys(spark, target) == sorted([*range(6), *range(6)])
+
+
+def test_rejects_are_split_off(spark, folder, tmp_path, target):
+    path = str(tmp_path / "rejects")
+    report = run(spark, spec(folder, tmp_path, rejects_path=path, wave_files=3), target)
+    assert (report.rows_read, report.rows_written, report.rows_rejected) == (12, 8, 4)
+    bad = spark.read.parquet(path).collect()
+    assert sorted((r.k, r.V, r.failed_columns) for r in bad) == [(k, "x", ["V"]) for k in (2, 5, 8, 11)]
+    assert spark.table(target.table).count() == 8
+
+
+def test_bulk_mode_sends_text(spark, folder, tmp_path):
+    name = f"t_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} (v STRING, k STRING) USING parquet")
+    run(spark, spec(folder, tmp_path, mode_type=4, custom_column=""), CatalogTable(name))
+    rows = {tuple(r) for r in spark.table(name).where("k < 3").collect()}
+    assert rows == {("0.5", "0"), ("1.5", "1"), ("x", "2")}
+
+
+class Broken(CatalogTable):
+    def write(self, df, **_):
+        raise RuntimeError("disk on fire")
+
+
+def test_scripts_and_failures(spark, folder, tmp_path, target):
+    runs = f"runs_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {runs} (step STRING, d DATE) USING parquet")
+    hooks = dict(
+        script_before=f"TRUNCATE TABLE {target.table}; INSERT INTO {runs} SELECT 'before', ?",
+        script_after=f"INSERT INTO {runs} SELECT 'after', ?;",
+        on_error=lambda s: s.sql(f"INSERT INTO {runs} SELECT 'error', NULL"),
+    )
+    load = spec(folder, tmp_path, **hooks)
+    with pytest.raises(RuntimeError, match="on fire"):
+        run(spark, load, Broken(target.table))
+    assert sorted(r.step for r in spark.table(runs).collect()) == ["after", "before", "error"]
+    # nothing was recorded, so the next run takes the files
+    assert run(spark, load, target).steps == ["before", "after"]
+    assert keys(spark, target) == [*range(12)]
+    # no files, no scripts
+    assert run(spark, load, target).steps == []
+    assert spark.table(runs).where("step = 'before'").count() == 2
+
+
+def test_failing_before_script_stops_everything(spark, folder, tmp_path, target):
+    steps = []
+    load = spec(
+        folder, tmp_path, script_before="SELECT no_such_column", script_after=lambda s: steps.append(1),
+        on_error=lambda s: steps.append(2),
+    )
+    with pytest.raises(Exception, match="no_such_column"):
+        run(spark, load, target)
+    assert steps == [] and keys(spark, target) == []
+
+
+def test_empty_input_runs_nothing(spark, folder, tmp_path, target):
+    empty = tmp_path / "empty"
+    spark.range(0).selectExpr("id k", "'' v").write.parquet(str(empty))
+    steps = []
+    for with_log in (0, 2):
+        load = spec(empty, tmp_path, with_log=with_log, script_before=lambda s: steps.append(1))
+        assert not run(spark, load, target).ran
+    assert steps == []
+
+
+def test_a_missing_destination_fails(spark, folder, tmp_path):
+    with pytest.raises(Exception, match="no_such_table"):
+        run(spark, spec(folder, tmp_path), CatalogTable("no_such_table"))
+    assert Ledger(spark, str(tmp_path / "ledger")).entries().isEmpty()
+
+
+def test_settings_are_put_back(spark, folder, tmp_path, target):
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    run(spark, spec(folder, tmp_path), target)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+
+
+def test_table_to_table(spark, target):
+    source = CatalogTable(f"s_{uuid.uuid4().hex}")
+    spark.sql("SELECT 1L K, '2.5' v, 'x' other UNION ALL SELECT 2L, NULL, 'y'").createOrReplaceTempView(source.table)
+    steps = []
+    load = LoadSpec(data_type="DB", script_before=lambda s: steps.append("before"), script_after=lambda s: steps.append("after"))
+    report = run(spark, load, target, source)
+    assert (report.rows_written, steps) == (2, ["before", "after"])
+    copy_table(spark, source, target, "k")
+    rows = sorted(f"{r.k} {r.V}" for r in spark.table(target.table).collect())
+    assert rows == ["1 2.50", "1 None", "2 None", "2 None"]
+    with pytest.raises(ValueError, match="source table"):
+        run(spark, load, target)
+
+
+def test_unknown_columns_are_not_written(spark, target):
+    with pytest.raises(ValueError, match="no column"):
+        target.write(spark.range(1))
+
+
+# -- streams ------------------------------------------------------------------
+
+
+def test_stream_takes_each_file_once(spark, folder, tmp_path):
+    schema = spark.read.parquet(str(folder)).schema
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def ingest():
+        stream = stream_parquet(spark, str(folder), schema, ["a_", "b_", "late"], max_files=1)
+        ingest_files(align(stream, ["k"]), out, checkpoint)
+        return sorted(r.k for r in spark.read.parquet(out).collect())
+
+    assert ingest() == [*range(6)]
+    add_file(spark, tmp_path, folder / "late.parquet", 9, RUN)
+    add_file(spark, tmp_path, folder / "other.parquet", 10, RUN)
+    assert ingest() == [*range(6), 27, 28, 29]
+    assert ingest() == [*range(6), 27, 28, 29]
