@@ -22,18 +22,10 @@ from pyspark.sql import types as T
 # before a trailing line break.
 FAMILIES = ("date", "timestamp", "numeric", "bigint", "datum", "binary", "bit")
 INTEGER = r"^[+-]?[0-9]+\z"
-MONTH = r"[0-9]{4}-(0?[1-9]|1[0-2])"
-FRACTION = r"(\.[0-9]{1,9})?"
-ANY_DATE = rf"^{MONTH}-(0?[1-9]|[12][0-9]|3[01])\z"
-ANY_SECOND = (
-    rf"^{MONTH}-(0?[1-9]|[12][0-9]|3[01]) [+-]?[0-9]+:[+-]?[0-9]+:[+-]?[0-9]+{FRACTION}\z"
-)
-# Dates that exist in every month, times within their range.
-PLAIN_DATE = rf"^{MONTH}-(0?[1-9]|1[0-9]|2[0-8])\z"
-PLAIN_SECOND = (
-    rf"^{MONTH}-(0?[1-9]|1[0-9]|2[0-8]) "
-    rf"([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]{FRACTION}\z"
-)
+YEAR_TO_DAY = r"[0-9]{4}-(0?[1-9]|1[0-2])-(0?[1-9]|[12][0-9]|3[01])"
+ANY_DATE = rf"^{YEAR_TO_DAY}\z"
+ANY_SECOND = rf"^{YEAR_TO_DAY} [+-]?[0-9]+:[+-]?[0-9]+:[+-]?[0-9]+(\.[0-9]{{1,9}})?\z"
+LONG_MONTHS = ["01", "03", "05", "07", "08", "10", "12"]
 # Days since 1970-01-01 that stay within the years 1 to 9999.
 FIRST_DAY, LAST_DAY = -719162, 2932896
 
@@ -242,23 +234,23 @@ def to_second(c: Column, dtype: T.DataType) -> Column:
     v = text_of(c)
     t = F.trim(F.substring(v, 1, 19))
     day, time = F.split_part(t, F.lit(" "), F.lit(1)), F.split_part(t, F.lit(" "), F.lit(2))
-    whole = F.split_part(time, F.lit("."), F.lit(1))
+    whole, fraction = (F.split_part(time, F.lit("."), F.lit(i)) for i in (1, 2))
     rolled = _rolled_day(day).cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), _part(whole, ":", 1), _part(whole, ":", 2),
-        _part(whole, ":", 3).cast("decimal(18,6)"),
+        _part(whole, ":", 3) + F.concat(F.lit("0."), fraction).try_cast("decimal(9,6)"),
     )
-    # texts that cannot roll on are cast, the others are added up: a cast of
-    # 30 February would cost an exception per value
-    long_enough = F.length(v) >= 19
-    return F.when(long_enough & t.rlike(PLAIN_SECOND), t.try_cast("timestamp_ntz")).when(
-        long_enough & t.rlike(ANY_SECOND), rolled
+    canonical = _canonical_day(v) & _at(v, 11, " ") & _at(v, 14, ":") & _at(v, 17, ":")
+    return F.coalesce(
+        F.when(canonical & _digit(v, 19), F.substring(v, 1, 19).try_cast("timestamp_ntz")),
+        F.when((F.length(v) >= 19) & t.rlike(ANY_SECOND), rolled),
     )
 
 
 def to_day(v: Column) -> Column:
     """Text ``yyyy-M-d`` as DATE; a day beyond the month's end rolls on."""
-    return F.when(v.rlike(PLAIN_DATE), v.try_cast("date")).when(
-        v.rlike(ANY_DATE), _rolled_day(v)
+    canonical = (F.length(v) == 10) & _canonical_day(v) & _digit(v, 10)
+    return F.coalesce(
+        F.when(canonical, v.try_cast("date")), F.when(v.rlike(ANY_DATE), _rolled_day(v))
     )
 
 
@@ -274,6 +266,33 @@ def _has(v: Column, letter: str) -> Column:
     return F.contains(v, F.lit(letter)) | F.contains(v, F.lit(letter.lower()))
 
 
+def _at(v: Column, position: int, char: str) -> Column:
+    return F.substring(v, position, 1) == char
+
+
+def _digit(v: Column, position: int) -> Column:
+    return F.substring(v, position, 1).between("0", "9")
+
+
+def _canonical_day(v: Column) -> Column:
+    """Starts like ``yyyy-MM-dd`` with a day its month has in every year.
+
+    Such texts need no regex, and their cast does not fail: a cast of 30
+    February would cost an exception per value.
+    """
+    month, day = F.substring(v, 6, 2), F.substring(v, 9, 2)
+    return (
+        _at(v, 5, "-")
+        & _at(v, 8, "-")
+        & month.between("01", "12")
+        & (
+            day.between("01", "28")
+            | (day.between("29", "30") & (month != "02"))
+            | ((day == "31") & month.isin(LONG_MONTHS))
+        )
+    )
+
+
 def _part(v: Column, separator: str, index: int) -> Column:
     return F.split_part(v, F.lit(separator), F.lit(index)).try_cast("int")
 

@@ -57,6 +57,14 @@ TRUTH = {
         "2024-01-02T03:04:05": None, "2024-01-02 03:04": None, "2024-1-5 3:4:5": None,
         "2024-02-30 00:00:00": datetime(2024, 3, 1), "2024-02-32 00:00:00": None,
         "2024-01-02 25:61:61": datetime(2024, 1, 3, 2, 2, 1),
+        "2024-01-02 03:04:+5": datetime(2024, 1, 2, 3, 4, 5),
+        "2024-01-02 03:04:-5": datetime(2024, 1, 2, 3, 3, 55),
+        "2024-01-02 +3:04:05": datetime(2024, 1, 2, 3, 4, 5),
+        "2024-01-02 -3:04:05": datetime(2024, 1, 1, 21, 4, 5),
+        "2024-01-31 23:59:59": datetime(2024, 1, 31, 23, 59, 59),
+        "2024-01-02 03:04:5Z": None, "2024-01-02 03:04: 5": None, "2024-01-02 03:04:.5": None,
+        "2024-01-1x 03:04:05": None, "2024-1:-02 03:04:05": None, " 024-01-02 03:04:05": None,
+        "+024-01-02 03:04:05": None, "2024-01- 2 03:04:05": None, "2024-01-02 03:0x:05": None,
         "2024-13-02 03:04:05": None, "2024-01-02 03:04:xx": None, "abc": None,
     },
     "bigint": {
@@ -67,6 +75,9 @@ TRUTH = {
         "2024-1-5": date(2024, 1, 5), "2024-02-30": date(2024, 3, 1), "2023-02-29": date(2023, 3, 1),
         "2024-04-31": date(2024, 5, 1), "2024-02-32": None, "2024-00-10": None, "19000": None,
         "2024": None, "2024-01-02 00:00:00": None, "2024-01-02\n": None, "24-01-02": None,
+        "2024-01-1 ": None, "2024-01- 1": None, " 024-01-01": None, "+024-01-01": None,
+        "2024-01-1x": None, "2024-1:-01": None, "2024-12-31": date(2024, 12, 31),
+        "2024-01-012": None, "2024-1-5T": None, "2024-01-5T": None,
     },
     "datum2": {
         "19000": date(2022, 1, 8), "-5": date(1969, 12, 27), "abc": None, "1700000000": None,
