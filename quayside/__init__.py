@@ -11,7 +11,6 @@ from .operators import (
     with_constants,
 )
 from .plans import LoadReport, copy_table, run, run_params
-from .session import configure
 from .sinks import split_bulk, write_bulk_text
 from .sources import list_files, scan_parquet, select_files, source_stats
 from .spec import LoadSpec, parse_constants, parse_map, resolve_path
@@ -28,7 +27,6 @@ __all__ = [
     "align",
     "as_text",
     "coerce_to_target",
-    "configure",
     "convert",
     "copy_table",
     "ingest_files",

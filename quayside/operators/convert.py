@@ -17,6 +17,7 @@ from ..functions.rules import (
     text_of,
 )
 from ..functions.vendor import coerce
+from ..session import configure
 from ..spec import match_columns, parse_map
 from .align import quoted
 
@@ -42,6 +43,7 @@ def convert_outcomes(
     int96_noon: bool = False,
 ) -> dict[str, Outcome]:
     """Column name -> outcome, in column order."""
+    configure(df.sparkSession)
     rules = parse_map(rules) if isinstance(rules, str) else rules
     found = match_columns(rules, df.columns, "conversion map")
     by_column = {actual: rules[wanted] for wanted, actual in found.items()}
@@ -66,6 +68,7 @@ def bulk_outcomes(
 
     A tab or line break in a value would break its row, so such values do not fit.
     """
+    configure(df.sparkSession)
     rules = parse_map(rules) if isinstance(rules, str) else rules
     found = match_columns(rules, df.columns, "conversion map")
     by_column = {actual: rules[wanted] for wanted, actual in found.items()}
@@ -102,6 +105,7 @@ def coerce_outcomes(
     vendor_types: Mapping[str, str],
     target: T.StructType | None = None,
 ) -> dict[str, Outcome]:
+    configure(df.sparkSession)
     types = {name.lower(): vendor for name, vendor in vendor_types.items()}
     outcomes = {}
     for field in df.schema:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -17,25 +15,15 @@ METHOD_LIMIT_CONF = "spark.sql.codegen.hugeMethodLimit"
 def configure(spark: SparkSession) -> None:
     """Keep the conversion of wide tables in code that the JVM compiles.
 
-    A stage that converts dozens of columns becomes one method beyond the JVM's
-    limit and then runs interpreted, many times slower.  With this setting such
-    a stage is split into smaller methods instead.
+    A stage that converts many columns becomes one method beyond the JVM's limit
+    and then runs interpreted, several times slower.  With this setting Spark
+    splits such a stage into smaller methods instead.  The conversion operators
+    call it; it changes no result.
     """
     if int(spark.conf.get(METHOD_LIMIT_CONF)) > COMPILED_METHOD_LIMIT:
         spark.conf.set(METHOD_LIMIT_CONF, str(COMPILED_METHOD_LIMIT))
 
 
-@contextmanager
-def configured(spark: SparkSession) -> Iterator[None]:
-    """``configure`` for the length of a block."""
-    before = spark.conf.get(METHOD_LIMIT_CONF)
-    configure(spark)
-    try:
-        yield
-    finally:
-        spark.conf.set(METHOD_LIMIT_CONF, before)
-
-
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new path below the cluster's shared folder (``spark.checkpoint.dir``).
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..session import configured
 from ..sources.files import name_glob, name_predicate
 from ..tables import Table
 
@@ -39,8 +38,7 @@ def ingest_files(rows: DataFrame, path: str, checkpoint: str) -> None:
     """Append what is available to a Parquet folder, exactly once."""
     _drain(
         rows.writeStream.format("parquet").option("path", path).outputMode("append")
-        .option("checkpointLocation", checkpoint),
-        rows.sparkSession,
+        .option("checkpointLocation", checkpoint)
     )
 
 
@@ -51,12 +49,9 @@ def ingest_table(rows: DataFrame, table: Table, checkpoint: str, **write: Any) -
     """
     _drain(
         rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: table.write(batch, **write)),
-        rows.sparkSession,
+        .foreachBatch(lambda batch, _: table.write(batch, **write))
     )
 
 
-def _drain(writer: DataStreamWriter, spark: SparkSession) -> None:
-    with configured(spark):  # the query keeps the settings it starts with
-        query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
+def _drain(writer: DataStreamWriter) -> None:
+    writer.trigger(availableNow=True).start().awaitTermination()

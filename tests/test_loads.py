@@ -278,12 +278,6 @@ def test_a_missing_destination_fails(spark, folder, tmp_path):
     assert Ledger(spark, str(tmp_path / "ledger")).entries().isEmpty()
 
 
-def test_settings_are_put_back(spark, folder, tmp_path, target):
-    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
-    run(spark, spec(folder, tmp_path), target)
-    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
-
-
 def test_table_to_table(spark, target):
     source = CatalogTable(f"s_{uuid.uuid4().hex}")
     spark.sql("SELECT 1L K, '2.5' v, 'x' other UNION ALL SELECT 2L, NULL, 'y'").createOrReplaceTempView(source.table)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quayside import LoadSpec, scan_parquet, split_rejects
 from quayside.plans.catalogue import ORDERS_TARGET, QUERIES
@@ -44,3 +45,13 @@ def test_reject_split_stays_in_generated_code(spark, sf):
     for df in split_rejects(raw, "p_retailprice=numeric,p_name=bigint,p_type=date1"):
         nodes = re.findall(r"^[ :+-]*(\*?)(?:\(\d+\) )?(?:Project|Filter) ", physical(df), re.M)
         assert nodes and all(star == "*" for star in nodes)
+
+
+def test_wide_conversions_stay_compilable(spark, sf):
+    """Hundreds of converted columns, in methods the JVM compiles."""
+    raw = scan_parquet(spark, f"{sf}/orders.parquet")
+    wide = raw.select([F.col("o_orderpriority").alias(f"c{i}") for i in range(200)])
+    split_rejects(wide, {f"c{i}": "timestamp" for i in range(200)})
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    good, bad = split_rejects(wide, {f"c{i}": "timestamp" for i in range(200)})
+    assert (good.count(), bad.count()) == (0, raw.count())
