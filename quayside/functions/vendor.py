@@ -8,11 +8,11 @@ from pyspark.sql import types as T
 
 from .rules import (
     DEFAULT_DECIMAL,
-    INTEGER,
     Outcome,
     text_of,
     to_byte,
     to_decimal,
+    to_long,
     to_second,
 )
 
@@ -42,14 +42,17 @@ def coerce(
     """
     name = base_type(vendor_type)
     v = text_of(c)
+    # numbers stay numbers, every other type is read as its text
+    number, kind = (c, dtype) if isinstance(dtype, T.NumericType) else (v, T.StringType())
     if name in ("BIT", "TINYINT"):
-        value = to_byte(c, dtype).cast("bigint")
+        value = to_byte(number, kind).cast("bigint")
     elif name == "INT8":
-        trimmed = F.trim(v)
-        number = F.when(trimmed.rlike(INTEGER), trimmed.try_cast("bigint"))
-        return Outcome(F.coalesce(number, F.lit(0)), c.isNull() | number.isNotNull())
+        if not isinstance(kind, T.IntegralType):
+            number, kind = F.trim(v), T.StringType()
+        whole = to_long(number, kind)
+        return Outcome(F.coalesce(whole, F.lit(0)), c.isNull() | whole.isNotNull())
     elif name in DECIMAL_TYPES:
-        value = to_decimal(c, dtype, decimal)
+        value = to_decimal(number, kind, decimal)
     elif name in SECOND_TYPES:
         value = to_second(c, dtype)
     else:

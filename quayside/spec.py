@@ -30,10 +30,10 @@ class Constant(NamedTuple):
         return _RUN_DATE in self.text
 
 
-def parse_pairs(text: str, separator: str = ",") -> dict[str, str]:
+def parse_pairs(text: str) -> dict[str, str]:
     """``A=x,B=y`` as a dict; what follows a second ``=`` is dropped, the last name wins."""
     pairs = {}
-    for item in filter(None, text.split(separator)):
+    for item in filter(None, text.split(",")):
         name, *rest = item.split("=")
         if not name or not rest:
             raise ValueError(f"expected NAME=VALUE, got {item!r}")

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from .functions.vendor import base_type
 from .operators.align import align, quoted
-from .spec import parse_pairs
 
 # JDBC address of each database kind.
 JDBC_URLS = {
@@ -59,7 +58,8 @@ class JdbcTable:
     @classmethod
     def from_config(cls, config: str, **options: str) -> tuple[JdbcTable, str]:
         """Source table and select list of ``user=…;password=…;…;table=…;select=a,b``."""
-        c = parse_pairs(config, ";")
+        # a password may hold "=", so only the first one separates
+        c = dict(item.split("=", 1) for item in config.split(";") if item)
         table = cls(
             c["databasetype"], c.get("host", ""), c.get("port", ""), c.get("schema", ""),
             c.get("table", ""), c.get("user", ""), c.get("password", ""), options,

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-DATA = "/root/testdata"
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
@@ -30,4 +30,4 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf():
-    return f"{DATA}/sf0.001"
+    return DATA

@@ -242,6 +242,16 @@ def test_int8_reports_bad_text(spark):
     assert got == [(0, False), (0, True), (1, True)]
 
 
+def test_vendor_types_of_typed_columns(spark):
+    row = spark.sql("SELECT 7 i, DATE'1970-01-03' d, 1.5D x, CAST(NULL AS INT) n, true b")
+    pick = lambda t, c: row.select(coerce(t, F.col(c), row.schema[c].dataType).value).first()[0]
+    assert [pick("INT8", c) for c in "idxnb"] == [7, 0, 0, 0, 0]
+    assert [pick("TINYINT", c) for c in "idxnb"] == [7, None, None, None, None]
+    assert [pick("NUMERIC", c) for c in "idxnb"] == [7, None, Decimal("1.5"), None, None]
+    assert pick("TIMESTAMP", "d") == datetime(1970, 1, 3)
+    assert pick("DATE", "d") == "1970-01-03"
+
+
 def test_vendor_names():
     assert base_type("FixedString(16)") == "FIXEDSTRING"
     assert len(DECIMAL_TYPES) == 19

@@ -122,8 +122,9 @@ def test_connection_settings():
     with pytest.raises(ValueError, match="unknown database kind"):
         JdbcTable("NONE", "", "", "", "")
     source, select = JdbcTable.from_config(
-        "databasetype=MYSQL;host=h;port=1;schema=db;table=t;user=u;password=p;select=a,b"
+        "databasetype=MYSQL;host=h;port=1;schema=db;table=t;user=u;password=p=q;select=a,b"
     )
+    assert source.password == "p=q"
     assert (source.url, source.table, select) == (URLS["MYSQL"], "t", "a,b")
     assert JdbcTable.from_config("databasetype=MYSQL")[1] == "*"
 
