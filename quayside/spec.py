@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import warnings
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field, fields

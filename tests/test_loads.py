@@ -8,7 +8,6 @@ import uuid
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from quayside import (
     CatalogTable,
