@@ -9,9 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from quayside.plans.catalogue import TABLES
-
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+from quayside.plans.catalogue import ORACLE, QUERIES, TABLES
 
 
 @pytest.fixture(scope="module")
