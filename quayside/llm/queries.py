@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import find_contamination
+from .minhash import find_classes
 from .mix import mix
 from .quality import judge
 from .shard import with_shards
@@ -32,11 +33,16 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "kept")
+
+
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_shards(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op3_mix, op4_quality, op10_shard)
+    f.__name__: f for f in (op2_decontaminate, op3_mix, op4_quality, op6_minhash, op10_shard)
 }
 ORACLE: dict[str, str] = {}
