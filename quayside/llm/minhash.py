@@ -254,7 +254,7 @@ def find_classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
         found = _verified(more, texts, reps, "links").where(F.col("similarity") >= SIMILARITY)
         for end in ("a", "b"):
             found = found.join(labels.select(F.col("node").alias(end), "label"), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
-        joined = components(found.select("a", "b")).withColumnsRenamed({"node": "label", "label": "joined"})
+        joined = components(found.select("a", "b")).select(F.col("node").alias("label"), F.col("label").alias("joined")).checkpoint()
         grouped = labels.join(joined, "label", "left").select("node", F.coalesce("joined", "label").alias("label"))
         alone = joined.join(labels.select("label").distinct(), "label", "left_anti").select(F.col("label").alias("node"), F.col("joined").alias("label"))
         labels = grouped.unionAll(alone).checkpoint()

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import find_contamination
+from .html import extract_text
 from .minhash import find_classes
 from .mix import mix
 from .quality import judge
 from .shard import with_shards
 from .store import table
+from .substrings import remove_repeats
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,16 +35,24 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "class_size", "kept")
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"]).drop("removed")
+
+
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_shards(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op3_mix, op4_quality, op6_minhash, op10_shard)
+    f.__name__: f for f in (op2_decontaminate, op3_mix, op4_quality, op5_html, op6_minhash, op8_substrings, op10_shard)
 }
 ORACLE: dict[str, str] = {}
