@@ -6,16 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .counts import count_document_tokens
 from .decontaminate import find_contamination
 from .html import extract_text
 from .minhash import find_classes
 from .mix import mix
+from .pack import pack
 from .quality import judge
 from .shard import with_shards
 from .store import table
 from .substrings import remove_repeats
 
 
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -48,11 +54,15 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"]).drop("removed")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_document_tokens(table(spark, sf_dir, "documents"))
+
+
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_shards(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op3_mix, op4_quality, op5_html, op6_minhash, op8_substrings, op10_shard)
+    f.__name__: f for f in (op1_pack, op2_decontaminate, op3_mix, op4_quality, op5_html, op6_minhash, op8_substrings, op9_token_counts, op10_shard)
 }
 ORACLE: dict[str, str] = {}
