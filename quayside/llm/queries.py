@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .counts import count_document_tokens
 from .decontaminate import find_contamination
 from .html import extract_text
+from .licenses import scan_licenses
 from .minhash import find_classes
 from .mix import mix
 from .pack import pack
@@ -50,6 +52,14 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "class_size", "kept")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths are source/lang and the digits of doc_id but for its last two; every licensed document speaks for its directory."""
+    docs = table(spark, sf_dir, "documents")
+    digits = F.regexp_replace(F.expr("nullif(cast(doc_id div 100 as string), '0')"), "(.)(?=.)", "$1/")
+    paths = docs.select("doc_id", "text", F.concat_ws("/", "source", "lang", digits, F.col("doc_id").cast("string")).alias("path"))
+    return scan_licenses(paths, speaks=F.lit(True), carry=["doc_id", "path"])
+
+
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"]).drop("removed")
 
@@ -63,6 +73,6 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack, op2_decontaminate, op3_mix, op4_quality, op5_html, op6_minhash, op8_substrings, op9_token_counts, op10_shard)
+    f.__name__: f for f in (op1_pack, op2_decontaminate, op3_mix, op4_quality, op5_html, op6_minhash, op7_licenses, op8_substrings, op9_token_counts, op10_shard)
 }
 ORACLE: dict[str, str] = {}
