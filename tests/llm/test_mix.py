@@ -21,7 +21,7 @@ def spark_hash(*values):
 
 def brute(rows, max_repetition, block_tokens, target_entropy=None, budget=None):
     """(doc, source, copy, block) of every taken copy."""
-    rows = [(d, s, len(re.findall(r"\S+", t or ""))) for d, t, s in rows]
+    rows = [(d, s, len(re.findall(r"\S+", t or "", re.ASCII))) for d, t, s in rows]
     rows = [r for r in rows if r[2]]
     total = Counter()
     for _, s, n in rows:
