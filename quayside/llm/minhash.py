@@ -11,9 +11,10 @@ probability; texts whose registers are not full get twice the horizon, so the ea
 in 32 bands of five: a link of similarity 0.8 meets in no band with probability 3e-6.
 
 Links of buckets, without all pairs: equal texts are one node first. Members of a bucket are verified against one hub
-of it, and components are formed. Only buckets that still hold several components are compared further: their members'
-registers, in blocks, and pairs of different components with at least `SIEVE` equal registers are verified in turn
-(a link of 0.8 fails that with probability 2e-5). A link within a component adds nothing to the classes.
+of it, and components are formed. Only buckets that still hold several components are compared further, by their members'
+registers, in blocks: pairs of different components with at least `SIEVE` equal registers (a link of 0.8 fails that with
+probability 2e-5) are verified, each member's best partners first and, where components still differ, four times as many
+in the next round, until none is left. A link within a component adds nothing to the classes.
 
 Defined cases: equal texts, empty ones too, are one class; texts without words are similar to no other; a null text is a
 class of its own; class_id is the least doc_id of a class; of repeated rows one is kept; a class without any doc_id has a
@@ -208,21 +209,41 @@ def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame, purpose: str)
     return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_verifier, "a long, b long, similarity double"), purpose)
 
 
-def _compare(table: pa.Table) -> pa.Table:
-    """Pairs of different components of one bucket, or of two blocks of it, with enough equal registers."""
-    node, label = (table.column(c).to_numpy() for c in ("node", "label"))
-    side, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
-    drawn = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint32).reshape(len(node), REGISTERS)
-    left = np.flatnonzero(side == low)
-    right = np.flatnonzero(side == high)
-    a, b = [], []
-    for i in left.tolist():
-        to = right[right > i] if low[0] == high[0] else right
-        to = to[label[to] != label[i]]
-        to = to[(drawn[to] == drawn[i]).sum(axis=1) >= SIEVE]
-        a.append(np.minimum(node[to], node[i]))
-        b.append(np.maximum(node[to], node[i]))
-    return pa.table({"a": np.concatenate(a).astype(np.int64), "b": np.concatenate(b).astype(np.int64)}) if a else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+def _comparer(most: int):
+    """Pairs of different components of one bucket, or of two blocks of it, with enough equal registers.
+
+    Each member names the `most` partners that share most registers; a pair of -1 says that some had more.
+    """
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, label = (table.column(c).to_numpy() for c in ("node", "label"))
+        side, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
+        drawn = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint32).reshape(len(node), REGISTERS)
+        sides = [np.flatnonzero(side == low), np.flatnonzero(side == high)]
+        pairs, cut = set(), False
+        for k, left in enumerate(sides if low[0] != high[0] else sides[:1]):
+            for i in left.tolist():
+                to = sides[1 - k][label[sides[1 - k]] != label[i]]
+                equal = (drawn[to] == drawn[i]).sum(axis=1)
+                to, equal = to[equal >= SIEVE], equal[equal >= SIEVE]
+                if len(to) > most:
+                    cut = True
+                    to = to[np.argsort(-equal, kind="stable")[:most]]
+                pairs.update(zip(np.minimum(node[to], node[i]).tolist(), np.maximum(node[to], node[i]).tolist(), strict=True))
+        rows = [*pairs, *[(-1, -1)] * cut]
+        return pa.table({"a": pa.array([x for x, _ in rows], pa.int64()), "b": pa.array([x for _, x in rows], pa.int64())})
+
+    return compare
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels after further links (a, b) of nodes."""
+    for end in ("a", "b"):
+        links = links.join(labels.select(F.col("node").alias(end), "label"), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    joined = components(links.select("a", "b")).select(F.col("node").alias("label"), F.col("label").alias("joined")).checkpoint()
+    grouped = labels.join(joined, "label", "left").select("node", F.coalesce("joined", "label").alias("label"))
+    alone = joined.join(labels.select("label").distinct(), "label", "left_anti").select(F.col("label").alias("node"), F.col("joined").alias("label"))
+    return grouped.unionAll(alone).checkpoint()
 
 
 def find_classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -240,24 +261,25 @@ def find_classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     pairs = written(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     stars = _verified(pairs, texts, reps, "stars")
     labels = components(stars.where(F.col("similarity") >= SIMILARITY)).checkpoint()
-    # Buckets that still hold several components.
-    labelled = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    split = labelled.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("n")).where("l < h")
-    split = split.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    spread = labelled.join(split, "band").join(reps.select("node", "registers"), "node")
-    spread = spread.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("band", "node", "label", "registers", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    close = spread.groupBy("band", "low", "high").applyInArrow(_compare, "a long, b long").distinct()
-    more = written(close.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    if more.limit(1).count():
-        found = _verified(more, texts, reps, "links").where(F.col("similarity") >= SIMILARITY)
-        for end in ("a", "b"):
-            found = found.join(labels.select(F.col("node").alias(end), "label"), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
-        joined = components(found.select("a", "b")).select(F.col("node").alias("label"), F.col("label").alias("joined")).checkpoint()
-        grouped = labels.join(joined, "label", "left").select("node", F.coalesce("joined", "label").alias("label"))
-        alone = joined.join(labels.select("label").distinct(), "label", "left_anti").select(F.col("label").alias("node"), F.col("joined").alias("label"))
-        labels = grouped.unionAll(alone).checkpoint()
+    # Buckets that still hold several components: each member's best partners first, more only while components differ.
+    verified, most = stars.select("a", "b"), 1
+    while True:
+        labelled = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+        split = labelled.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("n")).where("l < h")
+        split = split.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        spread = labelled.join(split, "band").join(reps.select("node", "registers"), "node")
+        spread = spread.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        spread = spread.select("band", "node", "label", "registers", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        close = written(spread.groupBy("band", "low", "high").applyInArrow(_comparer(most), "a long, b long").distinct(), "close")
+        more = written(close.where("a >= 0").join(verified, ["a", "b"], "left_anti"), "more")
+        if more.limit(1).count():
+            found = _verified(more, texts, reps, "links")
+            verified = verified.unionAll(found.select("a", "b"))
+            labels = _merged(labels, found.where(F.col("similarity") >= SIMILARITY))
+        if not close.where("a < 0").count():
+            break
+        most *= 4
     owned = sketches.select("doc", "digest", "row").join(nodes, "digest", "left")
     owned = owned.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node", "row"))
     owned = written(owned.select("doc", "digest", "row", "label"), "owned")

@@ -35,7 +35,7 @@ _TEMPORARY = ("_q_hash", "_q_bucket", "_q_source", "_q_first", "_q_taken", "_q_o
 
 
 def count_tokens(text: str) -> Column:
-    """Runs of characters that are no white space."""
+    """Runs of characters that are no ASCII white space."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
