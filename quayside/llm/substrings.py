@@ -39,7 +39,7 @@ LENGTH = 400
 GRAM = 300
 GRAMS = LENGTH - GRAM + 1
 BUCKET = 4096
-#: Rows of (digest, ranges) or of anchor hashes that may be broadcast.
+#: Anchor hashes, or anchors whose contexts are cut, that may be broadcast.
 BROADCAST_HASHES = 2_000_000
 _CHUNK = 1 << 18
 _SLICE = 1 << 21
@@ -244,7 +244,7 @@ def find_repeats(texts: DataFrame) -> DataFrame:
     return whole.unionAll(partly).groupBy("digest").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
 
-def _remover(columns: list[str], with_text: bool):
+def _remover(columns: list[str]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_q_text", _SLICE):
             data, offsets = flat(batch.column("_q_text"))
@@ -280,12 +280,10 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", carry: list[str] | No
     carry = base.columns if carry is None else carry
     digest = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
     found = written(find_repeats(base.select(digest.alias("digest"), F.col(text).alias("text"))), "repeats")
-    total = found.agg(F.sum(F.size("ranges"))).first()[0] or 0
-    held = found.select(F.col("digest").alias("_q_digest"), "ranges")
-    held = F.broadcast(held) if total <= BROADCAST_HASHES else held
+    held = found.select(F.col("digest").alias("_q_digest"), "ranges").hint("merge")
     rows = base.select(*carry, F.col(text).alias("_q_text"), digest.alias("_q_own"))
     rows = rows.join(held, F.col("_q_own") == F.col("_q_digest"), "left").select(*carry, "_q_text", "ranges")
     fields = [T.StructField(base.schema[c].name, base.schema[c].dataType) for c in carry]
     fields += [T.StructField(n, T.LongType()) for n in _OUTPUTS[:3]] + [T.StructField("kept_sha256", T.StringType())]
     fields += [T.StructField("removed", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])))]
-    return rows.mapInArrow(_remover(carry, False), T.StructType(fields))
+    return rows.mapInArrow(_remover(carry), T.StructType(fields))
