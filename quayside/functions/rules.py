@@ -22,15 +22,25 @@ from pyspark.sql import types as T
 # before a trailing line break.
 FAMILIES = ("date", "timestamp", "numeric", "bigint", "datum", "binary", "bit")
 INTEGER = r"^[+-]?[0-9]+\z"
+# What double takes, but for words: NaN and infinity are no value of a number column.
+NUMBER = r"^[\x00-\x20]*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|0[xX].*)[fFdD]?[\x00-\x20]*\z"
 YEAR_TO_DAY = r"[0-9]{4}-(0?[1-9]|1[0-2])-(0?[1-9]|[12][0-9]|3[01])"
 ANY_DATE = rf"^{YEAR_TO_DAY}\z"
 ANY_SECOND = rf"^{YEAR_TO_DAY} [+-]?[0-9]+:[+-]?[0-9]+:[+-]?[0-9]+(\.[0-9]{{1,9}})?\z"
+# Every part within its range in every month and year: the cast takes it as it is.
+IN_RANGE_SECOND = (
+    r"^[0-9]{4}-(0?[1-9]|1[0-2])-(0?[1-9]|1[0-9]|2[0-8]) "
+    r"([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9](\.[0-9]{1,6})?\z"
+)
 LONG_MONTHS = ["01", "03", "05", "07", "08", "10", "12"]
 # Days since 1970-01-01 that stay within the years 1 to 9999.
 FIRST_DAY, LAST_DAY = -719162, 2932896
 
 DEFAULT_DECIMAL = T.DecimalType(38, 10)
 
+NumberType = T.DecimalType | T.DoubleType | T.FloatType
+LARGEST_DOUBLE = 1.7976931348623157e308
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _INSTANT = (T.TimestampType, T.TimestampNTZType)
 _TEMPORAL = (T.DateType, *_INSTANT)
@@ -77,12 +87,12 @@ def apply_rule(
     rule: str,
     c: Column,
     dtype: T.DataType,
-    decimal: T.DecimalType = DEFAULT_DECIMAL,
+    number: NumberType = DEFAULT_DECIMAL,
     int96_noon: bool = False,
 ) -> Outcome:
     """Expression for ``rule`` over column ``c`` of Spark type ``dtype``.
 
-    ``decimal`` is the result type of the ``numeric`` family.  ``int96_noon``
+    ``number`` is the result type of the ``numeric`` family.  ``int96_noon``
     counts the time of day of ``date4`` and ``datum3`` from noon.
     """
     family = rule_family(rule)
@@ -90,7 +100,7 @@ def apply_rule(
         return _text_rule(rule, c, dtype, int96_noon)
     if family == "text":
         return Outcome(text_of(c))
-    value = _typed_rule(family, rule, c, dtype, decimal, int96_noon)
+    value = _typed_rule(family, rule, c, dtype, number, int96_noon)
     return Outcome(value, c.isNull() | value.isNotNull())
 
 
@@ -162,11 +172,11 @@ def _typed_rule(
     rule: str,
     c: Column,
     dtype: T.DataType,
-    decimal: T.DecimalType,
+    number: NumberType,
     noon: bool,
 ) -> Column:
     if family == "numeric":
-        return to_decimal(c, dtype, decimal)
+        return to_number(c, dtype, number)
     if family == "timestamp":
         return to_second(c, dtype)
     if family == "bigint":
@@ -195,13 +205,23 @@ def _typed_rule(
     return to_day(text_of(c))
 
 
-def to_decimal(c: Column, dtype: T.DataType, decimal: T.DecimalType) -> Column:
-    """Text goes through double, as far as it is exact; typed numbers do not."""
-    if isinstance(dtype, (T.DecimalType, T.DoubleType, *_INTEGRAL)):
-        return c.try_cast(decimal)
+def to_number(c: Column, dtype: T.DataType, number: NumberType) -> Column:
+    """Text goes through double, as far as it is exact; typed numbers do not.
+
+    A floating ``number`` takes the double as it is, without a decimal in between.
+    """
     if isinstance(dtype, _TEMPORAL):
-        return _raw_number(c, dtype).try_cast(decimal)
-    return text_of(c).try_cast("double").try_cast(decimal)
+        value = _raw_number(c, dtype)
+    elif isinstance(dtype, (T.DecimalType, T.DoubleType, *_INTEGRAL)):
+        value = c
+    else:
+        # a cast of text that is no number would cost an exception per value
+        v = text_of(c)
+        value = F.when(v.rlike(NUMBER), v.try_cast("double"))
+    if isinstance(number, T.DecimalType):
+        return value.try_cast(number)
+    wide = value.cast("double").cast(number)
+    return F.when(F.abs(wide) <= LARGEST_DOUBLE, wide)
 
 
 def to_long(c: Column, dtype: T.DataType) -> Column:
@@ -242,6 +262,7 @@ def to_second(c: Column, dtype: T.DataType) -> Column:
     canonical = _canonical_day(v) & _at(v, 11, " ") & _at(v, 14, ":") & _at(v, 17, ":")
     return F.coalesce(
         F.when(canonical & _digit(v, 19), F.substring(v, 1, 19).try_cast("timestamp_ntz")),
+        F.when((F.length(v) >= 19) & t.rlike(IN_RANGE_SECOND), t.try_cast("timestamp_ntz")),
         F.when((F.length(v) >= 19) & t.rlike(ANY_SECOND), rolled),
     )
 

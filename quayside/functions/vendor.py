@@ -8,19 +8,22 @@ from pyspark.sql import types as T
 
 from .rules import (
     DEFAULT_DECIMAL,
+    NumberType,
     Outcome,
     text_of,
     to_byte,
-    to_decimal,
     to_long,
+    to_number,
     to_second,
 )
 
 # Vendor type names whose text passes through double to decimal.
 DECIMAL_TYPES = frozenset(
-    "INT2 INT4 INT32 FLOAT4 FLOAT8 MONEY NUMERIC OID REGPROC REGPROCEDURE REGOPER "
-    "REGOPERATOR REGCLASS REGTYPE REGROLE REGNAMESPACE REGCONFIG REGDICTIONARY "
-    "CARDINAL_NUMBER".split()
+    {
+        "INT2", "INT4", "INT32", "FLOAT4", "FLOAT8", "MONEY", "NUMERIC", "OID", "REGPROC",
+        "REGPROCEDURE", "REGOPER", "REGOPERATOR", "REGCLASS", "REGTYPE", "REGROLE",
+        "REGNAMESPACE", "REGCONFIG", "REGDICTIONARY", "CARDINAL_NUMBER",
+    }
 )
 SECOND_TYPES = frozenset(("DATETIME", "TIMESTAMP"))
 
@@ -34,7 +37,7 @@ def coerce(
     vendor_type: str,
     c: Column,
     dtype: T.DataType,
-    decimal: T.DecimalType = DEFAULT_DECIMAL,
+    number: NumberType = DEFAULT_DECIMAL,
 ) -> Outcome:
     """Value of ``c`` as a column of ``vendor_type`` takes it; misfits become NULL.
 
@@ -42,17 +45,19 @@ def coerce(
     """
     name = base_type(vendor_type)
     v = text_of(c)
-    # numbers stay numbers, every other type is read as its text
-    number, kind = (c, dtype) if isinstance(dtype, T.NumericType) else (v, T.StringType())
+    # numbers stay numbers, truth values are 0 and 1, every other type is read as its text
+    plain, kind = (c, dtype) if isinstance(dtype, T.NumericType) else (v, T.StringType())
+    if isinstance(dtype, T.BooleanType):
+        plain, kind = c.cast("tinyint"), T.ByteType()
     if name in ("BIT", "TINYINT"):
-        value = to_byte(number, kind).cast("bigint")
+        value = to_byte(plain, kind).cast("bigint")
     elif name == "INT8":
         if not isinstance(kind, T.IntegralType):
-            number, kind = F.trim(v), T.StringType()
-        whole = to_long(number, kind)
+            plain, kind = F.trim(v), T.StringType()
+        whole = to_long(plain, kind)
         return Outcome(F.coalesce(whole, F.lit(0)), c.isNull() | whole.isNotNull())
     elif name in DECIMAL_TYPES:
-        value = to_decimal(number, kind, decimal)
+        value = to_number(plain, kind, number)
     elif name in SECOND_TYPES:
         value = to_second(c, dtype)
     else:

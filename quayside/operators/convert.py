@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.rules import (
     DEFAULT_DECIMAL,
+    NumberType,
     Outcome,
     apply_rule,
     null_text,
@@ -17,7 +18,6 @@ from ..functions.rules import (
     text_of,
 )
 from ..functions.vendor import coerce
-from ..session import configure
 from ..spec import match_columns, parse_map
 from .align import quoted
 
@@ -30,7 +30,7 @@ def convert(
 ) -> DataFrame:
     """Apply conversion rules; unmapped text ``null`` becomes NULL.
 
-    ``target`` gives the precision of ``numeric`` columns.
+    ``target`` gives the type of ``numeric`` columns: its decimals or floats.
     """
     outcomes = convert_outcomes(df, rules, target, int96_noon)
     return df.select(values(outcomes))
@@ -43,7 +43,6 @@ def convert_outcomes(
     int96_noon: bool = False,
 ) -> dict[str, Outcome]:
     """Column name -> outcome, in column order."""
-    configure(df.sparkSession)
     rules = parse_map(rules) if isinstance(rules, str) else rules
     found = match_columns(rules, df.columns, "conversion map")
     by_column = {actual: rules[wanted] for wanted, actual in found.items()}
@@ -53,7 +52,7 @@ def convert_outcomes(
         c, rule = quoted(field.name), by_column.get(field.name)
         if rule is not None:
             outcomes[field.name] = apply_rule(
-                rule, c, field.dataType, decimal_of(target, field.name), int96_noon
+                rule, c, field.dataType, number_of(target, field.name), int96_noon
             )
         else:
             value = null_text(c) if isinstance(field.dataType, T.StringType) else c
@@ -64,11 +63,7 @@ def convert_outcomes(
 def bulk_outcomes(
     df: DataFrame, rules: str | Mapping[str, str], int96_noon: bool = False
 ) -> dict[str, Outcome]:
-    """Column name -> bulk text: only ``date`` rules apply, other mapped columns stay as they are.
-
-    A tab or line break in a value would break its row, so such values do not fit.
-    """
-    configure(df.sparkSession)
+    """Column name -> bulk text: only ``date`` rules apply, other mapped columns stay as they are."""
     rules = parse_map(rules) if isinstance(rules, str) else rules
     found = match_columns(rules, df.columns, "conversion map")
     by_column = {actual: rules[wanted] for wanted, actual in found.items()}
@@ -82,10 +77,6 @@ def bulk_outcomes(
             outcome = apply_rule(rule, c, field.dataType, int96_noon=int96_noon)
         else:
             outcome = Outcome(text_of(c))
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            unbroken = outcome.value.isNull() | ~outcome.value.rlike(r"[\t\r\n]")
-            ok = unbroken if outcome.ok is None else outcome.ok & unbroken
-            outcome = Outcome(outcome.value, ok)
         outcomes[field.name] = outcome
     return outcomes
 
@@ -105,7 +96,6 @@ def coerce_outcomes(
     vendor_types: Mapping[str, str],
     target: T.StructType | None = None,
 ) -> dict[str, Outcome]:
-    configure(df.sparkSession)
     types = {name.lower(): vendor for name, vendor in vendor_types.items()}
     outcomes = {}
     for field in df.schema:
@@ -116,7 +106,7 @@ def coerce_outcomes(
             types[field.name.lower()],
             quoted(field.name),
             field.dataType,
-            decimal_of(target, field.name),
+            number_of(target, field.name),
         )
     return outcomes
 
@@ -125,8 +115,9 @@ def values(outcomes: Mapping[str, Outcome]) -> list[Column]:
     return [o.value.alias(name) for name, o in outcomes.items()]
 
 
-def decimal_of(target: T.StructType | None, name: str) -> T.DecimalType:
+def number_of(target: T.StructType | None, name: str) -> NumberType:
+    """Type a number column is converted to: the destination's, if that is a decimal or a float."""
     for field in target or ():
-        if field.name.lower() == name.lower() and isinstance(field.dataType, T.DecimalType):
+        if field.name.lower() == name.lower() and isinstance(field.dataType, NumberType):
             return field.dataType
     return DEFAULT_DECIMAL

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import Outcome
+from .align import quoted
 from .convert import convert_outcomes, values
 
 FAILED = "failed_columns"
@@ -37,14 +38,28 @@ def failed_columns(outcomes: Mapping[str, Outcome]) -> Column:
     )
 
 
+def judged(df: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` of ``df``, evaluated once.
+
+    A filter moves below a projection and repeats its expressions; it cannot
+    move below an observation.
+    """
+    return df.select(*columns).observe("judged", F.count(F.lit(1)).alias("rows"))
+
+
 def good_rows(df: DataFrame, outcomes: Mapping[str, Outcome]) -> DataFrame:
     """Converted rows without a failing column."""
-    return df.where(fits(outcomes)).select(values(outcomes))
+    if all(o.ok is None for o in outcomes.values()):
+        return df.select(values(outcomes))
+    rows = judged(df, F.struct(values(outcomes)).alias("row"), fits(outcomes).alias("fits"))
+    return rows.where("fits").select("row.*")
 
 
 def rejected_rows(df: DataFrame, outcomes: Mapping[str, Outcome]) -> DataFrame:
     """Original rows with their failing columns."""
-    return df.where(~fits(outcomes)).withColumn(FAILED, failed_columns(outcomes))
+    whole = F.struct(*[quoted(c) for c in df.columns]).alias("row")
+    rows = judged(df, whole, failed_columns(outcomes).alias(FAILED))
+    return rows.where(F.size(FAILED) > 0).select("row.*", FAILED)
 
 
 def split_rejects(

@@ -549,3 +549,137 @@ def ingest_available(spark: SparkSession, sf: str) -> DataFrame:
         loaded = convert(rows, "o_totalprice=numeric,o_orderdate=datum1", target)
         ingest_files(loaded, f"{base}/data", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/data")
+
+
+# -- order, types and steps that values alone do not show ------------------------
+
+
+@query(
+    """SELECT 'source' AS kind, 'C_CustKey,c_name,C_MKTSEGMENT' AS names, count(*) AS n FROM customer
+       UNION ALL SELECT 'target', 'C_MKTSEGMENT,C_CustKey,c_name', count(*) FROM customer"""
+)
+def column_order(spark: SparkSession, sf: str) -> DataFrame:
+    found = []
+    for order in ("source", "target"):
+        df = align(table(spark, sf, "customer"), CUSTOMER_NAMES, order=order)
+        found.append(df.agg(F.count("*").alias("n")).select(F.lit(order).alias("kind"), F.lit(",".join(df.columns)).alias("names"), "n"))
+    return reduce(DataFrame.unionAll, found)
+
+
+FLOAT_TEXT = """case o_orderstatus when 'F' then concat(cast(o_orderkey as string), '.123456789012e-18')
+                when 'O' then concat(cast(o_orderkey as string), 'e30') else 'n/a' end"""
+
+
+@query(
+    """SELECT o_orderkey,
+              TRY_CAST(CASE o_orderstatus WHEN 'F' THEN o_orderkey || '.123456789012e-18'
+                       WHEN 'O' THEN o_orderkey || 'e30' ELSE 'n/a' END AS double) AS x
+       FROM orders"""
+)
+def rule_numeric_double(spark: SparkSession, sf: str) -> DataFrame:
+    raw = table(spark, sf, "orders", "o_orderkey", f"{FLOAT_TEXT} x")
+    return convert(raw, "x=numeric", T.StructType([T.StructField("X", T.DoubleType())]))
+
+
+@query(
+    """SELECT o_orderkey,
+              TRY_CAST(CASE o_orderstatus WHEN 'F' THEN o_orderkey || '.123456789012e-18'
+                       WHEN 'O' THEN o_orderkey || 'e30' ELSE 'n/a' END AS double) AS x
+       FROM orders"""
+)
+def coerce_float(spark: SparkSession, sf: str) -> DataFrame:
+    raw = table(spark, sf, "orders", "o_orderkey", f"{FLOAT_TEXT} x")
+    target = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("x", T.DoubleType())])
+    return coerce_to_target(raw, {"o_orderkey": "OTHER", "x": "FLOAT8"}, target).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
+@query(
+    """SELECT CAST(o_orderkey AS varchar) AS k,
+              CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderstatus = 'F' AS bigint) END AS b,
+              CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(o_orderstatus = 'F' AS bigint) END AS i,
+              CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderstatus = 'F' AS integer)::decimal(38,10) END AS n
+       FROM orders"""
+)
+def coerce_boolean(spark: SparkSession, sf: str) -> DataFrame:
+    flag = "nullif(o_orderstatus, 'P') = 'F'"
+    raw = table(spark, sf, "orders", "o_orderkey k", f"{flag} b", f"{flag} i", f"{flag} n")
+    return coerce_to_target(raw, {"k": "OTHER", "b": "BIT", "i": "INT8", "n": "NUMERIC"})
+
+
+@query("SELECT o_orderkey, CAST(o_custkey AS varchar) AS o_custkey FROM orders")
+def rule_other(spark: SparkSession, sf: str) -> DataFrame:
+    return convert(table(spark, sf, "orders", "o_orderkey", "o_custkey"), "o_custkey=no_such_rule")
+
+
+@query(
+    """SELECT CAST(doc_id AS varchar) AS doc_id,
+              nullif(replace(CASE WHEN lower(text) <> 'null' THEN text END, '''', ''), '') AS text
+       FROM documents"""
+)
+def load_bulk(spark: SparkSession, sf: str) -> DataFrame:
+    """A bulk-mode load with rejects asked for keeps the rows whose texts hold line breaks."""
+    target = new_table(spark, "doc_id STRING, text STRING")
+    spec = LoadSpec(
+        root=sf, source_file_expression="/documents.parquet", mode_type=5,
+        rejects_path=f"{shared_dir(spark, 'bulk')}/rejects",
+    )
+    run(spark, spec, target)
+    return spark.table(target.table)
+
+
+@query(
+    """SELECT w AS wave_files, c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS c_mktsegment
+       FROM customer, (VALUES (1), (100)) AS waves(w)"""
+)
+def load_merged_waves(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of two schemas: the later one's column arrives, however the files are cut into waves."""
+    base = shared_dir(spark, "merged")
+    customer = table(spark, sf, "customer")
+    customer.where("c_custkey % 2 <> 0").select("c_custkey").write.parquet(f"{base}/in")
+    customer.where("c_custkey % 2 = 0").select("c_custkey", "c_mktsegment").write.mode("append").parquet(f"{base}/in")
+    found = []
+    for wave_files in (1, 100):
+        target = new_table(spark, "c_custkey BIGINT, c_mktsegment STRING")
+        spec = LoadSpec(
+            root=base, source_file_expression="/in", with_log=2, ledger_path=f"{base}/ledger-{wave_files}",
+            merge_schema=True, wave_files=wave_files,
+        )
+        run(spark, spec, target)
+        found.append(spark.table(target.table).select(F.lit(wave_files).alias("wave_files"), "*"))
+    return reduce(DataFrame.unionAll, found)
+
+
+@query(
+    """SELECT 'before' AS step, DATE '2024-01-15' AS d, 0 AS n UNION ALL
+       SELECT 'after', DATE '2024-01-15', count(*) FROM nation UNION ALL
+       SELECT 'written', DATE '2024-01-15', count(*) FROM nation UNION ALL
+       SELECT 'error', DATE '2024-01-15', count(*) FROM nation UNION ALL
+       SELECT 'empty', DATE '2024-01-15', 0"""
+)
+def load_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Scripts around a templated load, its counts, a failing load, and an empty one that runs nothing."""
+    base = shared_dir(spark, "steps")
+    table(spark, sf, "nation").write.parquet(f"{base}/20240115/12")
+    target = new_table(spark, "n_nationkey BIGINT, n_name STRING")
+    log = new_table(spark, "step STRING, d DATE, n BIGINT").table
+    entry = f"INSERT INTO {log} SELECT '{{}}', ?, count(*) FROM {target.table};"
+    spec = LoadSpec(
+        root=base, source_file_expression="/@format/@format,[yyyyMMdd,HH]", date=RUN_AT,
+        script_before=entry.format("before"), script_after=entry.format("after"),
+    )
+    report = run(spark, spec, target)
+    spark.sql(f"INSERT INTO {log} SELECT 'written', DATE'2024-01-15', {report.rows_written}")
+
+    class Failing(CatalogTable):
+        def write(self, df: DataFrame, **_: object) -> None:
+            raise RuntimeError("no room")
+
+    failing = LoadSpec(root=base, source_file_expression="/20240115/12", date=RUN_AT, on_error=entry.format("error"))
+    try:
+        run(spark, failing, Failing(target.table))
+    except RuntimeError:
+        pass
+    table(spark, sf, "nation").where("n_nationkey < 0").write.parquet(f"{base}/empty")
+    empty = LoadSpec(root=base, source_file_expression="/empty", date=RUN_AT, script_before=entry.format("never"))
+    spark.sql(f"INSERT INTO {log} SELECT 'empty', DATE'2024-01-15', {run(spark, empty, target).rows_read}")
+    return spark.table(log)

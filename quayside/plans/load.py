@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -14,9 +14,10 @@ from ..functions.rules import Outcome
 from ..operators.align import align, with_constants
 from ..operators.convert import bulk_outcomes, coerce_to_target, convert_outcomes, values
 from ..operators.rejects import fits, rejected_rows
+from ..session import compiled_methods
 from ..sources.files import escape_glob, scan_parquet
 from ..spec import Hook, LoadSpec, resolve_path
-from ..streaming.ledger import Ledger
+from ..streaming.ledger import Ledger, Manifest
 from ..tables import JdbcTable, Table, split_script
 
 
@@ -34,17 +35,21 @@ class LoadReport:
 
 @dataclass(frozen=True)
 class Wave:
+    """Rows to load, and the files (``path``) they come from."""
+
     rows: DataFrame
-    paths: list[str] = field(default_factory=list)
+    files: DataFrame | None = None
+    size: int = 0
 
 
 def run(spark: SparkSession, spec: LoadSpec, target: Table, source: Table | None = None) -> LoadReport:
     """Run one load into an existing table; ``source`` is the table of a DB load."""
     if spec.data_type == "DB" and source is None:
         raise ValueError("a DB load needs a source table")
-    if spec.data_type == "DB":
-        return _run_copy(spark, spec, target, source)
-    return _run_files(spark, spec, target)
+    with compiled_methods(spark):
+        if spec.data_type == "DB":
+            return _run_copy(spark, spec, target, source)
+        return _run_files(spark, spec, target)
 
 
 def run_params(
@@ -64,7 +69,8 @@ def copy_table(
     target: Table,
     columns: str = "*",
     batch_size: int = 10_000,
-    parallelism: int | None = 8,
+    parallelism: int | None = None,
+    commit: str = "partition",
     **read: object,
 ) -> None:
     """Append the columns two tables share; ``read`` goes to the source's ``read``."""
@@ -72,6 +78,7 @@ def copy_table(
         copied_rows(spark, source, target, columns, **read),
         batch_size=batch_size,
         parallelism=parallelism,
+        commit=commit,
     )
 
 
@@ -106,46 +113,67 @@ def row_outcomes(aligned: DataFrame, spec: LoadSpec, schema: T.StructType) -> di
 
 
 def _run_files(spark: SparkSession, spec: LoadSpec, target: Table) -> LoadReport:
+    path = resolve_path(spark, spec.root, spec.source_file_expression, spec.date)
+    if spec.with_log <= 0:
+        rows = scan_parquet(spark, path, name_parts=spec.name_parts, merge_schema=spec.merge_schema)
+        return _run_waves(spark, spec, target, [Wave(rows)], None)
+    ledger = Ledger(spark, spec.ledger_path)
+    manifest = ledger.plan(path, spec.name_parts, spec.with_log, spec.date)
+    try:
+        return _run_waves(spark, spec, target, _waves(spark, spec, path, manifest), ledger)
+    finally:
+        manifest.remove()
+
+
+def _run_waves(
+    spark: SparkSession, spec: LoadSpec, target: Table, waves: Iterable[Wave], ledger: Ledger | None
+) -> LoadReport:
     report = LoadReport()
-    ledger = Ledger(spark, spec.ledger_path) if spec.with_log > 0 else None
-    schema = None
+    schema, skipped = None, []
     try:
-        for wave in _waves(spark, spec, ledger):
+        for wave in waves:
             if not report.ran:
                 # nothing at all runs for empty input, scripts included
                 if wave.rows.isEmpty():
+                    skipped.append(wave)
                     continue
                 _hook(spark, spec.script_before, target, spec, report, "before")
                 report.ran = True
                 schema = target.schema(spark)
             _load_wave(spec, target, schema, wave, report)
             if ledger is not None:
-                ledger.record(
-                    spark.createDataFrame([(p,) for p in wave.paths], "path string").coalesce(1)
-                )
-                report.files_recorded += len(wave.paths)
-    except Exception:
+                # empty files of a run that loads something are done, however it is cut into waves
+                for done in [*skipped, wave]:
+                    ledger.record(done.files.coalesce(1))
+                    report.files_recorded += done.size
+                skipped = []
+    except Exception as error:
         if report.ran:
-            _hook(spark, spec.on_error, target, spec, report, "error")
+            for hook, step in ((spec.on_error, "error"), (spec.script_after, "after")):
+                try:
+                    _hook(spark, hook, target, spec, report, step)
+                except Exception as own:
+                    # the load's exception is the one to see
+                    error.add_note(f"the {step} hook failed too: {own}")
         raise
-    finally:
-        if report.ran:
-            _hook(spark, spec.script_after, target, spec, report, "after")
+    if report.ran:
+        _hook(spark, spec.script_after, target, spec, report, "after")
     return report
 
 
-def _waves(spark: SparkSession, spec: LoadSpec, ledger: Ledger | None) -> Iterator[Wave]:
-    """All selected files as one scan, or with a ledger a bounded number at a time."""
-    path = resolve_path(spark, spec.root, spec.source_file_expression, spec.date)
-    if ledger is None:
-        yield Wave(scan_parquet(spark, path, name_parts=spec.name_parts, merge_schema=spec.merge_schema))
+def _waves(spark: SparkSession, spec: LoadSpec, path: str, manifest: Manifest) -> Iterator[Wave]:
+    """Bounded numbers of pending files at a time, all under the schema settled before the first."""
+    first = manifest.first()
+    if first is None:
         return
-    schema = None
-    for paths in ledger.plan(path, spec.name_parts, spec.with_log, spec.date).waves(spec.wave_files):
-        literal = [escape_glob(p) for p in paths]
-        rows = scan_parquet(spark, literal, schema=schema, merge_schema=spec.merge_schema)
-        schema = schema or rows.schema
-        yield Wave(rows, paths)
+    if spec.merge_schema:
+        # Spark merges the footers in a job of its own
+        schema = scan_parquet(spark, path, name_parts=spec.name_parts, merge_schema=True).schema
+    else:
+        schema = scan_parquet(spark, escape_glob(first)).schema
+    for files in manifest.waves(spec.wave_files):
+        paths = [r.path for r in files.collect()]
+        yield Wave(scan_parquet(spark, [escape_glob(p) for p in paths], schema=schema), files, len(paths))
 
 
 def _load_wave(
@@ -169,6 +197,7 @@ def _load_wave(
         with_constants(good, spec.constants, spec.run_date),
         batch_size=spec.insert_batch_size,
         parallelism=spec.submit_thread_count,
+        commit=spec.commit,
     )
     rows, rejected = observed.get["rows"], observed.get.get("rejected", 0)
     if rejected:
@@ -185,12 +214,16 @@ def _run_copy(spark: SparkSession, spec: LoadSpec, target: Table, source: Table)
     report = LoadReport(ran=True)
     _hook(spark, spec.script_before, target, spec, report, "before")
     observed = Observation()
-    read = {"partitions": spec.read_partitions, "partition_on": spec.partition_on}
+    read = {
+        "partitions": spec.read_partitions, "partition_on": spec.partition_on,
+        "predicates": spec.predicates,
+    }
     rows = copied_rows(spark, source, target, spec.source_columns, **read)
     target.write(
         rows.observe(observed, F.count(F.lit(1)).alias("rows")),
         batch_size=spec.insert_batch_size,
         parallelism=spec.submit_thread_count,
+        commit=spec.commit,
     )
     report.rows_read = report.rows_written = observed.get["rows"]
     _hook(spark, spec.script_after, target, spec, report, "after")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -12,16 +14,22 @@ COMPILED_METHOD_LIMIT = 8000
 METHOD_LIMIT_CONF = "spark.sql.codegen.hugeMethodLimit"
 
 
-def configure(spark: SparkSession) -> None:
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
     """Keep the conversion of wide tables in code that the JVM compiles.
 
     A stage that converts many columns becomes one method beyond the JVM's limit
     and then runs interpreted, several times slower.  With this setting Spark
-    splits such a stage into smaller methods instead.  The conversion operators
-    call it; it changes no result.
+    splits such a stage into smaller methods instead.  ``run`` holds it for the
+    time of a load; it changes no result, and the session gets its own value back.
     """
-    if int(spark.conf.get(METHOD_LIMIT_CONF)) > COMPILED_METHOD_LIMIT:
+    before = spark.conf.get(METHOD_LIMIT_CONF)
+    if int(before) > COMPILED_METHOD_LIMIT:
         spark.conf.set(METHOD_LIMIT_CONF, str(COMPILED_METHOD_LIMIT))
+    try:
+        yield
+    finally:
+        spark.conf.set(METHOD_LIMIT_CONF, before)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -48,3 +56,9 @@ def listing_session(spark: SparkSession) -> SparkSession:
     sister.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     sister.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
     return sister
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library has written."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.align import quoted, with_constants
 from ..operators.convert import bulk_outcomes
+from ..functions.rules import Outcome
 from ..operators.rejects import good_rows, rejected_rows
 from ..spec import Constant
 
@@ -25,11 +26,17 @@ def split_bulk(
     int96_noon: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(lines, rejects)``: one ``value`` per row, and the rows a line cannot hold."""
-    outcomes = bulk_outcomes(df, rules, int96_noon)
+    outcomes = {n: _unbroken(o) for n, o in bulk_outcomes(df, rules, int96_noon).items()}
     good = with_constants(good_rows(df, outcomes), constants, run_date)
     return bulk_lines(good), rejected_rows(df, outcomes)
 
 
+def _unbroken(outcome: Outcome) -> Outcome:
+    """A tab or line break in a value would break its line, so such values do not fit."""
+    whole = outcome.value.isNull() | ~outcome.value.rlike(r"[\t\r\n]")
+    return Outcome(outcome.value, whole if outcome.ok is None else outcome.ok & whole)
+
+
 def bulk_lines(df: DataFrame) -> DataFrame:
     """Text columns as one line each: NULL is empty, every ``'`` is dropped."""
     fields = [

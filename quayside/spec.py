@@ -15,6 +15,7 @@ from .functions.shift import Shift, parse_shifts
 Hook = str | Callable[[SparkSession], None] | None
 
 _RUN_DATE = "?date"
+COMMITS = ("partition", "batch")
 
 
 class Constant(NamedTuple):
@@ -89,11 +90,13 @@ def resolve_path(
     if not comma or "]" not in template:
         raise ValueError(f"path template {expression!r}: expected path,[pattern,...]")
     patterns = template[opening + 1 : template.rindex("]")].split(",")
-    at = f"timestamp_ntz'{run_at:%Y-%m-%d %H:%M:%S}'"
-    row = spark.sql(
-        "SELECT " + ", ".join(f"date_format({at}, ?)" for _ in patterns), args=patterns
-    ).first()
-    for part in row:
+    # a local time: the session's zone and its gaps have no say in it
+    time = spark._jvm.java.time
+    at = time.LocalDateTime.of(
+        run_at.year, run_at.month, run_at.day, run_at.hour, run_at.minute, run_at.second
+    )
+    for pattern in patterns:
+        part = at.format(time.format.DateTimeFormatter.ofPattern(pattern))
         path = path.replace("@format", part, 1)
     return path
 
@@ -110,7 +113,7 @@ class LoadSpec:
     with_log: int = 0
     ledger_path: str | None = None
     insert_batch_size: int = 10_000
-    submit_thread_count: int = 8
+    submit_thread_count: int | None = None
     map_data_fields: str = ""
     custom_column: str = ""
     mode_type: int = 0
@@ -120,6 +123,8 @@ class LoadSpec:
     source_columns: str = "*"
     partition_on: str | None = None
     read_partitions: int | None = None
+    predicates: tuple[str, ...] = ()
+    commit: str = "partition"
     # settings of this library
     merge_schema: bool = False
     rejects_path: str | None = None
@@ -135,6 +140,8 @@ class LoadSpec:
             raise ValueError("with_log needs ledger_path")
         if self.wave_files < 1:
             raise ValueError("wave_files must be at least 1")
+        if self.commit not in COMMITS:
+            raise ValueError(f"commit must be one of {COMMITS}, got {self.commit!r}")
         # bad specs fail here, before anything is read or written
         if any(c.dated for c in self.constants) and self.date is None:
             raise ValueError("a constant uses ?date but the load has no date")
@@ -174,6 +181,8 @@ class LoadSpec:
         if isinstance(taken.get("date"), str):
             taken["date"] = datetime.fromisoformat(taken["date"])
         for f in fields(cls):
-            if f.name in taken and f.type == "int":
+            if f.name in taken and taken[f.name] is not None and f.type in ("int", "int | None"):
                 taken[f.name] = int(taken[f.name])
+        if isinstance(taken.get("predicates"), str):
+            taken["predicates"] = tuple(filter(None, taken["predicates"].split(";")))
         return cls(**{**taken, **extra})

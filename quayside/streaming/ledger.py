@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import listing_session, shared_dir
+from ..session import listing_session, remove_dir, shared_dir
 from ..sources.files import list_files, select_files
 
 COMPLETE = "complete"
@@ -39,11 +39,14 @@ class Ledger:
 
     def record(self, files: DataFrame, status: str = COMPLETE) -> None:
         """Append ``files`` (a ``path`` column) with the current time."""
-        (
+        self.take_over(
             files.select("path", F.lit(status).alias("status"), F.current_timestamp().alias("completed_at"))
-            .write.mode("append").parquet(self.path)
         )
 
+    def take_over(self, entries: DataFrame) -> None:
+        """Append entries as they are, with their status and time: those of an older ledger."""
+        entries.select("path", "status", "completed_at").write.mode("append").parquet(self.path)
+
     def plan(
         self, source: str, name_parts: list[str], mode: int, run_at: datetime | None
     ) -> Manifest:
@@ -51,31 +54,51 @@ class Ledger:
         sister = listing_session(self.spark)
         files = select_files(list_files(sister, source, name_parts), mode, run_at)
         path = shared_dir(self.spark, "manifest")
-        pending_files(files, self.entries(sister)).write.parquet(path)
+        pending = pending_files(files, self.entries(sister)).select(F.unix_micros("modified_at").alias("micros"), "path")
+        # in order, each file numbered within its part
+        ordered = pending.repartitionByRange("micros", "path").sortWithinPartitions("micros", "path")
+        numbered = ordered.withColumn("id", F.monotonically_increasing_id()).select(
+            "path", F.shiftright("id", 33).alias("part"), F.col("id").bitwiseAND((1 << 33) - 1).alias("place")
+        )
+        numbered.write.partitionBy("part").parquet(path)
         return Manifest(self.spark, path)
 
 
 class Manifest:
-    """Written list of files to load, handed out in bounded waves."""
+    """Written list of files to load, oldest first, handed out in bounded waves."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.files = spark.read.parquet(path)
-
-    def waves(self, size: int) -> Iterator[list[str]]:
-        """Paths, oldest file first, at most ``size`` at a time until none is left.
-
-        The driver holds one wave of paths, however many files are pending.
-        """
-        files = self.files.select(F.unix_micros("modified_at").alias("micros"), "path")
-        rest = files
-        while wave := rest.orderBy("micros", "path").limit(size).collect():
-            yield [path for _, path in wave]
-            if len(wave) < size:
-                return
-            # (micros, path) is unique: the next wave starts after the last file
-            micros, path = wave[-1]
-            later = (F.col("micros") == micros) & (F.col("path") > path)
-            rest = files.where((F.col("micros") > micros) | later)
+        self.spark, self.path = spark, path
+        self.files = spark.read.schema("path string, place long, part long").parquet(path)
+
+    def _parts(self) -> list[tuple[int, int]]:
+        """Number and files of each part, in order; as many as the sort had partitions."""
+        counts = self.files.groupBy("part").count().orderBy("part").collect()
+        return [(r["part"], r["count"]) for r in counts]
+
+    def slice(self, parts: list[tuple[int, int]], start: int, end: int) -> DataFrame:
+        """``path`` of the files numbered from start to before end; reads their parts only."""
+        wanted, first = F.lit(False), 0
+        for part, count in parts:
+            low, high = max(start - first, 0), min(end - first, count)
+            if low < high:
+                wanted = wanted | ((F.col("part") == part) & (F.col("place") >= low) & (F.col("place") < high))
+            first += count
+        return self.files.where(wanted).select("path")
+
+    def waves(self, size: int) -> Iterator[DataFrame]:
+        """Frames of at most ``size`` paths each, the oldest files first."""
+        parts = self._parts()
+        for start in range(0, sum(n for _, n in parts), size):
+            yield self.slice(parts, start, start + size)
+
+    def first(self) -> str | None:
+        """The oldest file."""
+        row = next((wave.first() for wave in self.waves(1)), None)
+        return row and row.path
+
+    def remove(self) -> None:
+        remove_dir(self.spark, self.path)
 
 
 def complete_paths(entries: DataFrame) -> DataFrame:

@@ -48,7 +48,11 @@ class JdbcTable:
 
     @classmethod
     def from_params(cls, params: Mapping[str, Any], **options: str) -> JdbcTable:
-        """Destination named by ``database-type``, ``host``, … ``destination-table``."""
+        """Destination named by ``database-type``, ``host``, … ``destination-table``.
+
+        ``jdbc-options`` (``name=value;…``) and ``driver`` go to Spark's JDBC source.
+        """
+        options = {**jdbc_options(params), **options}
         return cls(
             params["database-type"], params.get("host", ""), str(params.get("port", "")),
             params.get("database-name", ""), params.get("destination-table", ""),
@@ -60,6 +64,7 @@ class JdbcTable:
         """Source table and select list of ``user=…;password=…;…;table=…;select=a,b``."""
         # a password may hold "=", so only the first one separates
         c = dict(item.split("=", 1) for item in config.split(";") if item)
+        options = {**jdbc_options({"driver": c.get("driver")}), **options}
         table = cls(
             c["databasetype"], c.get("host", ""), c.get("port", ""), c.get("schema", ""),
             c.get("table", ""), c.get("user", ""), c.get("password", ""), options,
@@ -114,17 +119,15 @@ class JdbcTable:
         """The table's rows, read over ``partitions`` connections.
 
         ``partition_on`` names a numeric, date or timestamp column, best one
-        with few rows per value; its range is asked of the database.
+        with few rows per value; its range is asked of the database.  Rows
+        without a value come over a connection of their own; a column that is
+        NULL throughout deals nothing out and is refused.
         ``predicates`` are disjoint conditions that together cover the table,
         one connection each.  Without either the whole table comes over one
         connection into one task, which has to be asked for by ``partitions=1``.
         """
         if predicates:
-            properties = {k: v for k, v in self.connection.items() if k != "url"}
-            properties["fetchsize"] = str(fetch_size)
-            df = spark.read.jdbc(
-                self.url, self.table, predicates=list(predicates), properties=properties
-            )
+            df = self._by_predicates(spark, list(predicates), fetch_size)
         else:
             reader = (
                 spark.read.format("jdbc").options(**self.connection)
@@ -132,12 +135,17 @@ class JdbcTable:
             )
             if partition_on:
                 low, high = self._range(spark, partition_on)
-                if low is not None:
-                    reader = reader.options(
-                        partitionColumn=partition_on, lowerBound=str(low), upperBound=str(high),
-                        numPartitions=str(partitions or spark.sparkContext.defaultParallelism),
+                if low is None:
+                    raise ValueError(
+                        f"{self.table} has no value in {partition_on}; use another column or predicates"
                     )
-            elif partitions != 1:
+                ranged = reader.options(
+                    **self.range_options(partition_on, low, high, partitions or spark.sparkContext.defaultParallelism)
+                ).load()
+                rest = self._by_predicates(spark, [f"{partition_on} IS NULL"], fetch_size)
+                df = ranged.unionByName(rest)
+                return df if list(columns) == ["*"] else align(df, columns)
+            if partitions != 1:
                 raise ValueError(
                     f"reading {self.table} needs partition_on or predicates; "
                     "pass partitions=1 to read it over one connection"
@@ -145,6 +153,19 @@ class JdbcTable:
             df = reader.load()
         return df if list(columns) == ["*"] else align(df, columns)
 
+    def range_options(self, column: str, low: Any, high: Any, partitions: int) -> dict[str, str]:
+        """Options of a read in ranges of a column, without the rows that have no value in it."""
+        return {
+            "dbtable": f"(SELECT * FROM {self.table} WHERE {column} IS NOT NULL) ranged",
+            "partitionColumn": column, "lowerBound": str(low), "upperBound": str(high),
+            "numPartitions": str(partitions),
+        }
+
+    def _by_predicates(self, spark: SparkSession, predicates: list[str], fetch_size: int) -> DataFrame:
+        properties = {k: v for k, v in self.connection.items() if k != "url"}
+        properties["fetchsize"] = str(fetch_size)
+        return spark.read.jdbc(self.url, self.table, predicates=predicates, properties=properties)
+
     def _range(self, spark: SparkSession, column: str) -> tuple[Any, Any]:
         query = f"SELECT MIN({column}) AS low_end, MAX({column}) AS high_end FROM {self.table}"
         row = (
@@ -169,16 +190,16 @@ class JdbcTable:
         self,
         df: DataFrame,
         batch_size: int = 10_000,
-        parallelism: int | None = 8,
+        parallelism: int | None = None,
         commit: str = "partition",
     ) -> None:
         """Append rows by batched inserts; the columns must exist in the table.
 
-        At most ``parallelism`` connections are open at a time (None: one per
-        running task).  Narrowing to them needs no shuffle, so a task reads,
-        converts and inserts its share in one go.  A partition is one
-        transaction and a retried task starts clean; with ``commit="batch"``
-        every batch commits by itself, and a retried task repeats its batches.
+        Every running task has a connection, so the cores given to the job bound
+        them.  ``parallelism`` asks Spark to narrow the whole load, its scan and
+        conversion too, to so many tasks.  A partition is one transaction and a
+        retried task starts clean; with ``commit="batch"`` every batch commits by
+        itself, and a retried task repeats its batches.
         """
         options = self.write_options(batch_size, parallelism, commit)
         df.write.format("jdbc").options(**options).mode("append").save()
@@ -269,6 +290,15 @@ class CatalogTable:
 Table = JdbcTable | CatalogTable
 
 
+def jdbc_options(params: Mapping[str, Any]) -> dict[str, str]:
+    """``driver`` and ``jdbc-options`` (``name=value;…``) of a parameter set."""
+    given = (item.split("=", 1) for item in (params.get("jdbc-options") or "").split(";") if item)
+    options = {name: value for name, value in given}
+    if params.get("driver"):
+        options["driver"] = params["driver"]
+    return options
+
+
 def split_script(script: str) -> list[str]:
     """Statements of a ``;``-separated script, empty ones left out."""
     return [s for s in script.split(";") if s.strip()]

@@ -22,10 +22,12 @@ from quayside import (
     scan_parquet,
     select_files,
     source_stats,
+    split_bulk,
     stream_parquet,
 )
 from quayside.sources.files import name_glob
-from quayside.streaming.ledger import Manifest, pending_files
+from quayside.streaming.ingest import ingest_table
+from quayside.streaming.ledger import pending_files
 
 RUN = datetime(2024, 3, 31, 10, 30, 0)
 NAMES = {
@@ -163,15 +165,26 @@ def test_text_ledger(spark, tmp_path):
 
 
 @pytest.mark.parametrize("size", [1, 3, 7, 8, 100])
-def test_waves_hand_out_every_file_once(spark, tmp_path, size):
+def test_waves_hand_out_every_file_once(spark, folder, tmp_path, size):
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
     # many files share a modification time
-    listed = spark.range(23).selectExpr(
-        "concat('/f', id) path", "timestamp_seconds(id div 5) modified_at"
-    )
-    listed.write.parquet(str(tmp_path / "manifest"))
-    waves = list(Manifest(spark, str(tmp_path / "manifest")).waves(size))
-    assert all(len(w) <= size for w in waves)
-    assert sorted(sum(waves, [])) == sorted(f"/f{i}" for i in range(23))
+    for i in range(6):
+        add_file(spark, tmp_path, folder / f"more{i}.parquet", i, RUN)
+    manifest = ledger.plan(str(folder), [], 2, None)
+    waves = [[r.path for r in w.collect()] for w in manifest.waves(size)]
+    assert all(len(w) <= size for w in waves) and all(len(w) == size for w in waves[:-1])
+    names = [p.rsplit("/", 1)[1] for w in waves for p in w]
+    assert sorted(names) == sorted(p for p in os.listdir(folder) if "_SUCCESS" not in p)
+    assert names[0] == "c_230000.parquet" == manifest.first().rsplit("/", 1)[1] and "odd" in names[-1]
+    manifest.remove()
+    assert not os.path.exists(manifest.path.removeprefix("file:"))
+
+
+def test_an_old_ledger_is_taken_over(spark, tmp_path):
+    (tmp_path / "log.txt").write_text("/a\tcomplete;2024-01-01 00:00:00\n/b\tfailed;2024-01-02 00:00:00\n")
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    ledger.take_over(read_text_ledger(spark, str(tmp_path / "log.txt")))
+    assert sorted((r.path, r.status, r.completed_at.day) for r in ledger.entries().collect()) == [("/a", "complete", 1), ("/b", "failed", 2)]
 
 
 # -- envelope -----------------------------------------------------------------
@@ -195,6 +208,23 @@ def test_waves_load_the_same(spark, folder, tmp_path, target, wave_files):
     assert keys(spark, target) == [*range(12)]
 
 
+@pytest.mark.parametrize("wave_files", [1, 2, 10])
+def test_one_schema_and_one_rule_for_empty_files(spark, tmp_path, wave_files):
+    source, scratch = tmp_path / "two", tmp_path / "scratch"
+    source.mkdir()
+    for k, (columns, n) in enumerate([("id c1", 0), ("id c1", 2), ("id c1, 'new' c2", 2), ("id c1", 0)]):
+        spark.range(n).selectExpr(*columns.split(", ")).coalesce(1).write.parquet(str(scratch / str(k)))
+        [part] = [p for p in os.listdir(scratch / str(k)) if p.endswith(".parquet")]
+        shutil.copy(scratch / str(k) / part, source / f"{k}.parquet")
+        os.utime(source / f"{k}.parquet", (k + 1, k + 1))
+    name = f"t_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} (c1 BIGINT, c2 STRING) USING parquet")
+    load = LoadSpec(root=str(source), with_log=2, ledger_path=str(tmp_path / "ledger"), merge_schema=True, wave_files=wave_files)
+    report = run(spark, load, CatalogTable(name))
+    assert (report.rows_written, report.files_recorded) == (4, 4)
+    assert sorted((r.c1, r.c2 or "") for r in spark.table(name).collect()) == [(0, ""), (0, "new"), (1, ""), (1, "new")]
+
+
 def test_modes_reach_the_envelope(spark, folder, tmp_path, target):
     run(spark, spec(folder, tmp_path, with_log=1), target)
     assert keys(spark, target) == [0, 1, 2, 6, 7, 8]
@@ -261,6 +291,28 @@ def test_failing_before_script_stops_everything(spark, folder, tmp_path, target)
     assert steps == [] and keys(spark, target) == []
 
 
+def test_failing_hooks_do_not_hide_the_load(spark, folder, tmp_path, target):
+    def fail(_):
+        raise ValueError("hook")
+
+    with pytest.raises(RuntimeError, match="on fire") as caught:
+        run(spark, spec(folder, tmp_path, on_error=fail, script_after=fail), Broken(target.table))
+    assert len(caught.value.__notes__) == 2
+    with pytest.raises(ValueError, match="hook"):
+        run(spark, spec(folder, tmp_path, script_after=fail), target)
+
+
+def test_bulk_load_keeps_line_breaks(spark, tmp_path):
+    spark.sql("SELECT 'a\\nb' v UNION ALL SELECT 'c'").write.parquet(str(tmp_path / "in"))
+    name = f"t_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} (v STRING) USING parquet")
+    load = LoadSpec(root=str(tmp_path / "in"), mode_type=5, rejects_path=str(tmp_path / "bad"))
+    report = run(spark, load, CatalogTable(name))
+    assert (report.rows_written, report.rows_rejected) == (2, 0)
+    lines, bad = split_bulk(spark.table(name))
+    assert (lines.count(), bad.count()) == (1, 1)
+
+
 def test_empty_input_runs_nothing(spark, folder, tmp_path, target):
     empty = tmp_path / "empty"
     spark.range(0).selectExpr("id k", "'' v").write.parquet(str(empty))
@@ -313,3 +365,11 @@ def test_stream_takes_each_file_once(spark, folder, tmp_path):
     add_file(spark, tmp_path, folder / "other.parquet", 10, RUN)
     assert ingest() == [*range(6), 27, 28, 29]
     assert ingest() == [*range(6), 27, 28, 29]
+
+
+def test_stream_into_a_table(spark, folder, tmp_path, target):
+    schema = spark.read.parquet(str(folder)).schema
+    for _ in range(2):
+        stream = stream_parquet(spark, str(folder), schema, ["a_", "b_"], max_files=1)
+        ingest_table(align(stream, ["k"]), target, str(tmp_path / "checkpoint"))
+    assert keys(spark, target) == [*range(6)]

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from quayside import LoadSpec, scan_parquet, split_rejects
 from quayside.plans.catalogue import ORDERS_TARGET, QUERIES
 from quayside.plans.load import transform
+from quayside.session import METHOD_LIMIT_CONF, compiled_methods
 
 # queries that group or join files or ledger lines, or return a table they wrote
-SHUFFLING = {"file_stats", "ledger_pending", "suggested_rules", "text_ledger"}
+SHUFFLING = {"column_order", "file_stats", "ledger_pending", "suggested_rules", "text_ledger"}
 
 
 def physical(df):
@@ -48,10 +49,22 @@ def test_reject_split_stays_in_generated_code(spark, sf):
 
 
 def test_wide_conversions_stay_compilable(spark, sf):
-    """Hundreds of converted columns, in methods the JVM compiles."""
+    """Hundreds of converted columns, in methods the JVM compiles; the session keeps its own setting."""
     raw = scan_parquet(spark, f"{sf}/orders.parquet")
     wide = raw.select([F.col("o_orderpriority").alias(f"c{i}") for i in range(200)])
-    split_rejects(wide, {f"c{i}": "timestamp" for i in range(200)})
-    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
-    good, bad = split_rejects(wide, {f"c{i}": "timestamp" for i in range(200)})
-    assert (good.count(), bad.count()) == (0, raw.count())
+    before = spark.conf.get(METHOD_LIMIT_CONF)
+    with compiled_methods(spark):
+        assert int(spark.conf.get(METHOD_LIMIT_CONF)) <= 8000
+        good, bad = split_rejects(wide, {f"c{i}": "timestamp" for i in range(200)})
+        assert (good.count(), bad.count()) == (0, raw.count())
+    assert spark.conf.get(METHOD_LIMIT_CONF) == before
+
+
+def test_split_converts_once(spark, sf):
+    raw = scan_parquet(spark, f"{sf}/orders.parquet")
+    texts = raw.select(F.col("o_orderpriority").alias("x"))
+    good, bad = split_rejects(texts, "x=numeric")
+    for df in (good, bad):
+        # one projection holds the conversion, where its common parts are evaluated once
+        nodes = [x for x in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "[eE]" in x]
+        assert len(nodes) == 1 and "Project" in nodes[0]

@@ -245,9 +245,9 @@ def test_int8_reports_bad_text(spark):
 def test_vendor_types_of_typed_columns(spark):
     row = spark.sql("SELECT 7 i, DATE'1970-01-03' d, 1.5D x, CAST(NULL AS INT) n, true b")
     pick = lambda t, c: row.select(coerce(t, F.col(c), row.schema[c].dataType).value).first()[0]
-    assert [pick("INT8", c) for c in "idxnb"] == [7, 0, 0, 0, 0]
-    assert [pick("TINYINT", c) for c in "idxnb"] == [7, None, None, None, None]
-    assert [pick("NUMERIC", c) for c in "idxnb"] == [7, None, Decimal("1.5"), None, None]
+    assert [pick("INT8", c) for c in "idxnb"] == [7, 0, 0, 0, 1]
+    assert [pick("TINYINT", c) for c in "idxnb"] == [7, None, None, None, 1]
+    assert [pick("NUMERIC", c) for c in "idxnb"] == [7, None, Decimal("1.5"), None, Decimal(1)]
     assert pick("TIMESTAMP", "d") == datetime(1970, 1, 3)
     assert pick("DATE", "d") == "1970-01-03"
 
@@ -255,3 +255,12 @@ def test_vendor_types_of_typed_columns(spark):
 def test_vendor_names():
     assert base_type("FixedString(16)") == "FIXEDSTRING"
     assert len(DECIMAL_TYPES) == 19
+
+
+def test_floating_targets_keep_the_double(spark):
+    texts = ["1e-15", "1e30", "0.123456789012345", "n/a", "NaN", "Infinity", "1e400", None, " 2.5 ", "3d"]
+    got = outcomes(spark, texts, T.StringType(), lambda c: apply_rule("numeric", c, T.StringType(), T.DoubleType()))
+    assert [x for x, _ in got] == [1e-15, 1e30, 0.123456789012345, None, None, None, None, None, 2.5, 3.0]
+    assert [ok for _, ok in got] == [True, True, True, False, False, False, False, True, True, True]
+    got = outcomes(spark, ["1e30", "1e39", "0.5"], T.StringType(), lambda c: coerce("FLOAT4", c, T.StringType(), T.FloatType()))
+    assert [x and round(x / 1e30, 3) for x, _ in got] == [1.0, None, 0.0]

@@ -80,7 +80,7 @@ def test_spec_from_parameters():
     assert spec.date == RUN and spec.run_date == date(2024, 3, 31)
     assert (spec.with_log, spec.name_parts, spec.order, spec.bulk) == (2, ["a", "b"], "target", True)
     assert spec.rules == {"A": "bit"}
-    assert (spec.insert_batch_size, spec.submit_thread_count) == (10_000, 8)
+    assert (spec.insert_batch_size, spec.submit_thread_count) == (10_000, None)
     assert "secret" not in repr(spec)
     with pytest.raises(ValueError, match="ledger_path"):
         LoadSpec(with_log=1)
@@ -116,6 +116,12 @@ def test_connection_settings():
     options = target.write_options(500, 4, "partition")
     assert (options["dbtable"], options["batchsize"], options["numPartitions"]) == ("s.t", "500", "4")
     assert "isolationLevel" not in options
+    assert "numPartitions" not in target.write_options(500, None, "partition")
+    given = JdbcTable.from_params({**params, "driver": "d.D", "jdbc-options": "ssl=true;sslmode=a=b"})
+    assert [given.connection[k] for k in ("driver", "ssl", "sslmode")] == ["d.D", "true", "a=b"]
+    ranged = target.range_options("k", 1, 9, 4)
+    assert (ranged["partitionColumn"], ranged["lowerBound"], ranged["upperBound"], ranged["numPartitions"]) == ("k", "1", "9", "4")
+    assert "k IS NOT NULL" in ranged["dbtable"]
     assert target.write_options(1, None, "batch")["isolationLevel"] == "NONE"
     with pytest.raises(ValueError):
         target.write_options(1, None, "never")
@@ -134,6 +140,56 @@ def test_a_whole_table_through_one_task_must_be_asked_for(spark):
         JdbcTable("MYSQL", "h", "1", "db", "t").read(spark)
 
 
+def test_a_column_without_values_deals_nothing_out(spark, monkeypatch):
+    monkeypatch.setattr(JdbcTable, "_range", lambda self, spark, column: (None, None))
+    with pytest.raises(ValueError, match="no value"):
+        JdbcTable("MYSQL", "h", "1", "db", "t").read(spark, partition_on="k")
+
+
+def test_rows_without_a_value_have_a_connection_of_their_own(spark, monkeypatch):
+    seen = {}
+
+    class Reader:
+        def format(self, _):
+            return self
+
+        def option(self, *_):
+            return self
+
+        def options(self, **given):
+            seen.update(given)
+            return self
+
+        def load(self):
+            return spark.range(3)
+
+        def jdbc(self, url, table, predicates, properties):
+            seen["predicates"] = predicates
+            return spark.range(2)
+
+    monkeypatch.setattr(JdbcTable, "_range", lambda self, spark, column: (1, 9))
+    monkeypatch.setattr(type(spark), "read", property(lambda self: Reader()))
+    df = JdbcTable("MYSQL", "h", "1", "db", "t").read(spark, partition_on="k", partitions=4)
+    assert df.count() == 5 and seen["predicates"] == ["k IS NULL"] and seen["numPartitions"] == "4"
+
+
+def test_path_in_a_gap_of_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        at = datetime(2024, 3, 10, 2, 30)
+        assert resolve_path(spark, "/in", "/@format,[yyyyMMddHHmm]", at) == "/in/202403100230"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_commit_and_predicates_come_from_parameters():
+    spec = LoadSpec.from_params({"commit": "batch", "predicates": "a = 1;a <> 1", "submit-thread-count": "4"})
+    assert (spec.commit, spec.predicates, spec.submit_thread_count) == ("batch", ("a = 1", "a <> 1"), 4)
+    with pytest.raises(ValueError, match="commit"):
+        LoadSpec(commit="never")
+
+
 def test_vendor_types_come_from_the_driver():
     schema = T.StructType(
         [
