@@ -13,6 +13,7 @@ from .html import extract_text
 from .licenses import scan_licenses
 from .minhash import find_classes
 from .mix import mix
+from .oracle import OP2, OP4
 from .pack import pack
 from .quality import judge
 from .shard import with_shards
@@ -39,7 +40,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "source", "soft_failed", "host_rate", "host_failed",
+        "source", "soft_failed", F.round("host_rate", 6).alias("host_rate"), "host_failed",
     )
 
 
@@ -75,4 +76,4 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pack, op2_decontaminate, op3_mix, op4_quality, op5_html, op6_minhash, op7_licenses, op8_substrings, op9_token_counts, op10_shard)
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_decontaminate": OP2, "op4_quality": OP4}
