@@ -21,7 +21,7 @@ from ..operators.convert import coerce_to_target, convert
 from ..operators.profile import as_text, suggest_rules
 from ..operators.rejects import FAILED, split_rejects
 from ..session import shared_dir
-from ..sinks.bulk_text import split_bulk
+from ..sinks.bulk_text import split_bulk, write_bulk_text
 from ..sources.files import scan_parquet, select_files, source_stats
 from ..spec import LoadSpec
 from ..streaming.ingest import ingest_files, stream_parquet
@@ -683,3 +683,37 @@ def load_steps(spark: SparkSession, sf: str) -> DataFrame:
     empty = LoadSpec(root=base, source_file_expression="/empty", date=RUN_AT, script_before=entry.format("never"))
     spark.sql(f"INSERT INTO {log} SELECT 'empty', DATE'2024-01-15', {run(spark, empty, target).rows_read}")
     return spark.table(log)
+
+
+INT96_CONF = "spark.sql.parquet.outputTimestampType"
+
+
+@query(
+    """SELECT event_id, date_trunc('second', ts) AS at, date_trunc('second', ts) + INTERVAL 12 HOUR AS from_noon,
+              strftime(ts, '%Y-%m-%d %H:%M:%S') AS as_text
+       FROM events"""
+)
+def rule_int96(spark: SparkSession, sf: str) -> DataFrame:
+    """Times stored as INT96, read back with and without counting from noon."""
+    sister = spark.newSession()
+    sister.conf.set("spark.sql.session.timeZone", "UTC")
+    sister.conf.set(INT96_CONF, "INT96")
+    path = shared_dir(spark, "int96")
+    second = F.date_trunc("second", "ts").cast("timestamp")  # INT96 holds instants
+    scan_parquet(sister, f"{sf}/events.parquet").select("event_id", second.alias("ts")).write.parquet(path)
+    raw = scan_parquet(sister, path).selectExpr("event_id", "ts at", "ts from_noon", "ts as_text")
+    plain = convert(raw.select("event_id", "at", "as_text"), "at=datum3,as_text=date4")
+    noon = convert(raw.select("event_id", "from_noon"), "from_noon=datum3", int96_noon=True)
+    return plain.join(noon.hint("merge"), "event_id")
+
+
+@query(
+    """SELECT CAST(n_nationkey AS varchar) || chr(9) || replace(n_name, '''', '') || chr(9) AS value
+       FROM nation"""
+)
+def bulk_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of the written bulk file, as they stand between its CRLFs."""
+    path = shared_dir(spark, "bulk-file")
+    lines, _ = split_bulk(table(spark, sf, "nation", "n_nationkey", "n_name"))
+    write_bulk_text(lines, path)
+    return spark.read.option("lineSep", "\r\n").text(path)
