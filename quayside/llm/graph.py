@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import checkpointed
+
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """Hang each node's greater neighbours (large), or its lesser ones and itself (small), on its least neighbour.
@@ -28,13 +30,13 @@ def components(links: DataFrame) -> DataFrame:
 
     Every round is checkpointed in the shared folder and only a count and a checksum reach the driver.
     """
-    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct().checkpoint()
+    edges = checkpointed(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
     before = None
     while True:
         state = edges.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")).first()
         if state.n == 0 or before == (state.n, state.x):
             break
         before = (state.n, state.x)
-        edges = _stars(_stars(edges, True), False).checkpoint()
+        edges = checkpointed(_stars(_stars(edges, True), False))
     own = edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionAll(own)

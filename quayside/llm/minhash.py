@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import written
+from .store import checkpointed, written
 from .text import ALNUM, LOWER_CODES, flat, gram_hashes, inside_one, mix, slices, span_hashes, spans, without
 
 WIDTH = 5
@@ -240,10 +240,10 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """labels after further links (a, b) of nodes."""
     for end in ("a", "b"):
         links = links.join(labels.select(F.col("node").alias(end), "label"), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
-    joined = components(links.select("a", "b")).select(F.col("node").alias("label"), F.col("label").alias("joined")).checkpoint()
+    joined = checkpointed(components(links.select("a", "b")).select(F.col("node").alias("label"), F.col("label").alias("joined")))
     grouped = labels.join(joined, "label", "left").select("node", F.coalesce("joined", "label").alias("label"))
     alone = joined.join(labels.select("label").distinct(), "label", "left_anti").select(F.col("label").alias("node"), F.col("joined").alias("label"))
-    return grouped.unionAll(alone).checkpoint()
+    return checkpointed(grouped.unionAll(alone))
 
 
 def find_classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -260,7 +260,7 @@ def find_classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     members = written(banded.join(buckets, "band"), "members")
     pairs = written(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     stars = _verified(pairs, texts, reps, "stars")
-    labels = components(stars.where(F.col("similarity") >= SIMILARITY)).checkpoint()
+    labels = checkpointed(components(stars.where(F.col("similarity") >= SIMILARITY)))
     # Buckets that still hold several components: each member's best partners first, more only while components differ.
     verified, most = stars.select("a", "b"), 1
     while True:

@@ -18,6 +18,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a checkpoint in the shared folder; of small tables that only live for a query."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Hint a broadcast where the counted rows allow it; beyond that Spark's joins shuffle."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
