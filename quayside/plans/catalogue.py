@@ -393,9 +393,17 @@ def text_of_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT * FROM (VALUES ('us_date', 'date1'), ('iso_date', 'date0'), ('o_orderstatus', 'date0'))
-                AS t(column_name, rule)
-       WHERE (SELECT count(*) FROM orders WHERE day(o_orderdate) > 12) > 0"""
+    """WITH texts AS (
+         SELECT 'us_date' AS column_name, strftime(o_orderdate, '%m/%d/%Y') AS x FROM orders
+         UNION ALL SELECT 'iso_date', strftime(o_orderdate, '%Y/%m/%d') FROM orders
+         UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders)
+       SELECT column_name,
+              CASE WHEN coalesce(bool_or(regexp_full_match(replace(x, '/', ''), '[0-9]+')
+                        AND length(split_part(x, '/', 3)) > 3
+                        AND TRY_CAST(split_part(x, '/', 1) AS integer) < 13
+                        AND TRY_CAST(split_part(x, '/', 2) AS integer) > 12), false)
+                   THEN 'date1' ELSE 'date0' END AS rule
+       FROM texts GROUP BY column_name"""
 )
 def suggested_rules(spark: SparkSession, sf: str) -> DataFrame:
     raw = table(
