@@ -11,10 +11,9 @@ probability; texts whose registers are not full get twice the horizon, so the ea
 in 32 bands of five: a link of similarity 0.8 meets in no band with probability 3e-6.
 
 Links of buckets, without all pairs: equal texts are one node first. Members of a bucket are verified against one hub
-of it, and components are formed. Only buckets that still hold several components are compared further, by their members'
-registers, in blocks: pairs of different components with at least `SIEVE` equal registers (a link of 0.8 fails that with
-probability 2e-5) are verified, each member's best partners first and, where components still differ, four times as many
-in the next round, until none is left. A link within a component adds nothing to the classes.
+of it, and components are formed. Only buckets that still hold several components are compared further, text by text within tasks
+and in blocks of bounded size; what comes out are the links that join components, fewer than there are components. A
+link within a component adds nothing to the classes.
 
 Defined cases: equal texts, empty ones too, are one class; texts without words are similar to no other; a null text is a
 class of its own; class_id is the least doc_id of a class; of repeated rows one is kept; a class without any doc_id has a
@@ -38,9 +37,9 @@ WIDTH = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
-SIEVE = 107
-#: Members of a bucket that one task compares at once.
+#: Members of a bucket, and bytes of their texts, that one task compares with as many others at once.
 BLOCK = 2048
+BLOCK_BYTES = 1 << 22
 #: Rows (node and text key) of the set of texts to verify that may be broadcast, 40 MB at most.
 BROADCAST_TEXTS = 500_000
 _OUTPUTS = ("class_id", "class_size", "kept")
@@ -133,15 +132,15 @@ def _sketcher(text: str):
                 keys = mix(keys * _STEP + drawn[:, k::ROWS])
             keys = mix(keys + np.arange(BANDS, dtype=np.uint64) * _REGISTER).view(np.int64)
             ends = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
-            short = (drawn >> np.uint64(32)).astype(np.uint32)
+            _, offsets = flat(batch.column(text))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc"),
                     batch.column("digest"),
                     pa.ListArray.from_arrays(ends, pa.array(keys[has].ravel())),
-                    pa.array([short[k].tobytes() if has[k] else None for k in range(n)], pa.binary()),
+                    pa.array(np.diff(offsets)),
                 ],
-                names=["doc", "digest", "bands", "registers"],
+                names=["doc", "digest", "bands", "size"],
             )
 
     return work
@@ -195,45 +194,66 @@ def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sims)], names=["a", "b", "similarity"])
 
 
+def _texts_of(nodes: DataFrame, texts: DataFrame, reps: DataFrame, purpose: str) -> DataFrame:
+    """(node, text) of some nodes. Copies of a text are aggregated before they move, so a task sends each once."""
+    wanted = written(reps.join(nodes, "node", "left_semi").select("node", "digest"), purpose)
+    if wanted.count() <= BROADCAST_TEXTS:
+        wanted = F.broadcast(wanted)
+    return texts.join(wanted, "digest").groupBy("node").agg(F.first("text").alias("text"))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame, purpose: str) -> DataFrame:
     """(a, b, similarity) of each pair of nodes, from whole texts; written."""
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = written(reps.join(ends, "node", "left_semi").select("node", "digest"), f"{purpose}-wanted")
-    if wanted.count() <= BROADCAST_TEXTS:
-        wanted = F.broadcast(wanted)
-    # Copies of a text are aggregated before they move, so each text is sent once by a task.
-    held = texts.join(wanted, "digest").groupBy("node").agg(F.first("text").alias("text"))
+    held = _texts_of(ends, texts, reps, f"{purpose}-wanted")
     one = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = held.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(one, "a").join(two, "b")
     return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_verifier, "a long, b long, similarity double"), purpose)
 
 
-def _comparer(most: int):
-    """Pairs of different components of one bucket, or of two blocks of it, with enough equal registers.
+def _compare(table: pa.Table) -> pa.Table:
+    """Links that join different components of one bucket, or of two blocks of it; at most one less than components.
 
-    Each member names the `most` partners that share most registers; a pair of -1 says that some had more.
+    With p and q the shares of a text's shingles, sum of min(p, q) bounds the similarity from above. Texts beyond the
+    bound are compared exactly: by their common shingles where all counts are one, else by the whole formula.
     """
-
-    def compare(table: pa.Table) -> pa.Table:
-        node, label = (table.column(c).to_numpy() for c in ("node", "label"))
-        side, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
-        drawn = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint32).reshape(len(node), REGISTERS)
-        sides = [np.flatnonzero(side == low), np.flatnonzero(side == high)]
-        pairs, cut = set(), False
-        for k, left in enumerate(sides if low[0] != high[0] else sides[:1]):
-            for i in left.tolist():
-                to = sides[1 - k][label[sides[1 - k]] != label[i]]
-                equal = (drawn[to] == drawn[i]).sum(axis=1)
-                to, equal = to[equal >= SIEVE], equal[equal >= SIEVE]
-                if len(to) > most:
-                    cut = True
-                    to = to[np.argsort(-equal, kind="stable")[:most]]
-                pairs.update(zip(np.minimum(node[to], node[i]).tolist(), np.maximum(node[to], node[i]).tolist(), strict=True))
-        rows = [*pairs, *[(-1, -1)] * cut]
-        return pa.table({"a": pa.array([x for x, _ in rows], pa.int64()), "b": pa.array([x for _, x in rows], pa.int64())})
-
-    return compare
+    node, label = (table.column(c).to_numpy() for c in ("node", "label"))
+    side, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
+    texts = pa.chunked_array(table.column("text").chunks, pa.string()).combine_chunks()
+    owner, gram, count = shingles(texts)
+    _, ids = np.unique(gram, return_inverse=True)
+    firsts = np.searchsorted(owner, np.arange(len(node)))
+    sizes = np.diff(np.append(firsts, len(owner)))
+    total = np.bincount(owner, count, minlength=len(node))
+    plain = total == sizes
+    share = count / total[owner]
+    group = np.unique(label, return_inverse=True)[1]
+    left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
+    a, b = [], []
+    mark = np.zeros(int(ids.max()) + 1 if len(ids) else 1)
+    for i in left.tolist():
+        other = group[right] != group[i]
+        if not other.any():
+            continue
+        own = slice(firsts[i], firsts[i] + sizes[i])
+        mark[ids[own]] = share[own]
+        most = np.add.reduceat(np.minimum(mark[ids], share), firsts)
+        mark[ids[own]] = 0
+        to = right[other & (most[right] >= SIMILARITY - 1e-9)]
+        both = plain[to] & plain[i]
+        common = np.rint(most[to] * np.maximum(sizes[to], sizes[i]))
+        sure = both & (common >= SIMILARITY * (sizes[to] + sizes[i] - common))
+        if not both.all():
+            rest = np.flatnonzero(~both)
+            sims = similarities(texts.take(pa.array(np.full(len(rest), i))), texts.take(pa.array(to[rest])))
+            sure[rest] = sims >= SIMILARITY
+        for j in to[sure].tolist():
+            if group[j] != group[i]:
+                a.append(node[i])
+                b.append(node[j])
+                group[group == group[j]] = group[i]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -250,36 +270,30 @@ def find_classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     """A row for each row of docs: the key, digest (16 bytes, null for a null text), class_id, class_size and kept."""
     texts = docs.select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("digest"), F.col(text).alias("text"))
     rows = docs.select(F.col(key).alias("doc"), F.unhex(F.md5(F.col(text).cast("binary"))).alias("digest"), F.col(text).alias("text"))
-    sketched = rows.mapInArrow(_sketcher("text"), f"doc {docs.schema[key].dataType.simpleString()}, digest binary, bands array<bigint>, registers binary")
+    sketched = rows.mapInArrow(_sketcher("text"), f"doc {docs.schema[key].dataType.simpleString()}, digest binary, bands array<bigint>, size long")
     sketches = written(sketched.withColumn("row", F.monotonically_increasing_id()), "sketches")
     # Equal texts are one node: the first row of them.
     nodes = written(sketches.where("digest is not null").groupBy("digest").agg(F.min("row").alias("node")), "nodes")
     reps = sketches.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
-    banded = reps.select("node", F.explode("bands").alias("band"))
+    banded = reps.select("node", "size", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub < far").select("band", "hub")
     members = written(banded.join(buckets, "band"), "members")
     pairs = written(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     stars = _verified(pairs, texts, reps, "stars")
     labels = checkpointed(components(stars.where(F.col("similarity") >= SIMILARITY)))
-    # Buckets that still hold several components: each member's best partners first, more only while components differ.
-    verified, most = stars.select("a", "b"), 1
-    while True:
-        labelled = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-        split = labelled.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("n")).where("l < h")
-        split = split.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        spread = labelled.join(split, "band").join(reps.select("node", "registers"), "node")
-        spread = spread.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        spread = spread.select("band", "node", "label", "registers", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-        close = written(spread.groupBy("band", "low", "high").applyInArrow(_comparer(most), "a long, b long").distinct(), "close")
-        more = written(close.where("a >= 0").join(verified, ["a", "b"], "left_anti"), "more")
-        if more.limit(1).count():
-            found = _verified(more, texts, reps, "links")
-            verified = verified.unionAll(found.select("a", "b"))
-            labels = _merged(labels, found.where(F.col("similarity") >= SIMILARITY))
-        if not close.where("a < 0").count():
-            break
-        most *= 4
+    # Buckets that still hold several components are compared text by text, in blocks; only joining links come out.
+    labelled = members.select("band", "node", "size").join(labels, "node", "left").select("band", "node", "size", F.coalesce("label", "node").alias("label"))
+    split = labelled.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("n"), F.sum("size").alias("size")).where("l < h")
+    split = split.select("band", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("size") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    open_ = written(labelled.drop("size").join(split, "band"), "open")
+    held = _texts_of(open_.select("node").distinct(), texts, reps, "open-wanted")
+    spread = open_.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.select("band", "node", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    found = spread.join(held, "node").groupBy("band", "low", "high").applyInArrow(_compare, "a long, b long")
+    found = written(found.distinct(), "links")
+    if found.limit(1).count():
+        labels = _merged(labels, found)
     owned = sketches.select("doc", "digest", "row").join(nodes, "digest", "left")
     owned = owned.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node", "row"))
     owned = written(owned.select("doc", "digest", "row", "label"), "owned")

@@ -94,6 +94,20 @@ def test_blocks_of_a_bucket(chain, monkeypatch):
     check(chain)
 
 
+def test_blocks_by_bytes(chain, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_BYTES", 5000)
+    check(chain)
+
+
+def test_bucket_of_weighted_texts(spark):
+    """Repeated phrases: the same shingles at other counts, so that only the weighted similarity decides."""
+    rows = []
+    for k in range(24):
+        phrase = " ".join(f"p{i}" for i in range(12))
+        rows.append((k, " ".join([phrase] * (1 + k % 6)) + " " + " ".join(f"t{i}" for i in range(60)) + f" own{k % 4}"))
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+
+
 def test_signature_estimates_probability_jaccard():
     base = [f"w{k}" for k in range(400)]
     other = base[:250] + [f"v{k}" for k in range(100)] + base[:60]
