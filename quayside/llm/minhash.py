@@ -212,6 +212,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame, purpose: str)
     return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_verifier, "a long, b long, similarity double"), purpose)
 
 
+def _weighted(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, total: float) -> np.ndarray:
+    """Probability Jaccard of several texts with one other, a few sums for each ratio of counts that occurs.
+
+    x are the counts of the texts' shingles, text by text, `sizes` of each; y the other's counts of the same
+    shingles, and total the sum of all its counts.
+    """
+    starts = np.cumsum(sizes) - sizes
+    ratio = y / x
+    out = np.zeros(len(sizes))
+    for r in np.unique(ratio[ratio > 0]):
+        below = ratio <= r
+        mine = np.add.reduceat(np.where(below, x, 0), starts)
+        other = total - np.add.reduceat(np.where(below, y, 0), starts)
+        out += np.add.reduceat(np.where(ratio == r, x, 0), starts) / (mine + other / r)
+    return out
+
+
 def _compare(table: pa.Table) -> pa.Table:
     """Links that join different components of one bucket, or of two blocks of it; at most one less than components.
 
@@ -232,6 +249,7 @@ def _compare(table: pa.Table) -> pa.Table:
     left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
     a, b = [], []
     mark = np.zeros(int(ids.max()) + 1 if len(ids) else 1)
+    counts = np.zeros(len(mark))
     for i in left.tolist():
         other = group[right] != group[i]
         if not other.any():
@@ -244,10 +262,12 @@ def _compare(table: pa.Table) -> pa.Table:
         both = plain[to] & plain[i]
         common = np.rint(most[to] * np.maximum(sizes[to], sizes[i]))
         sure = both & (common >= SIMILARITY * (sizes[to] + sizes[i] - common))
-        if not both.all():
-            rest = np.flatnonzero(~both)
-            sims = similarities(texts.take(pa.array(np.full(len(rest), i))), texts.take(pa.array(to[rest])))
-            sure[rest] = sims >= SIMILARITY
+        rest = np.flatnonzero(~both)
+        if len(rest):
+            picked = np.concatenate([np.arange(firsts[j], firsts[j] + sizes[j]) for j in to[rest].tolist()])
+            counts[ids[own]] = count[own]
+            sure[rest] = _weighted(count[picked], counts[ids[picked]], sizes[to[rest]], total[i]) >= SIMILARITY
+            counts[ids[own]] = 0
         for j in to[sure].tolist():
             if group[j] != group[i]:
                 a.append(node[i])

@@ -126,6 +126,16 @@ def test_weighted_similarity():
     assert got[0] == pytest.approx(jaccard(grams(left), grams(right))) and got[1] == 0 and got[2] == 0
 
 
+def test_weighted_sums_are_the_similarity():
+    rng = np.random.default_rng(2)
+    other = dict(zip(range(40), rng.integers(1, 5, 40).tolist(), strict=True))
+    texts = [dict(zip(rng.permutation(60)[:30].tolist(), rng.integers(1, 4, 30).tolist(), strict=True)) for _ in range(5)]
+    x = np.array([c for t in texts for c in t.values()], float)
+    y = np.array([other.get(d, 0) for t in texts for d in t], float)
+    got = M._weighted(x, y, np.array([30] * 5), sum(other.values()))
+    assert got == pytest.approx([jaccard(Counter(t), Counter(other)) for t in texts])
+
+
 def test_keep_one(edge, none):
     rows = [(r.doc_id, r.text) for r in edge.select("doc_id", "text").collect()]
     kept = M.keep_one(edge)
