@@ -1,10 +1,11 @@
 """Licence scan: sparse TF-IDF cosine of header lines and whole files to templates, then inheritance from directories.
 
-Terms are runs of letters, digits and inner `.+-`, lower-cased. Inverse document frequencies of the templates' terms are
-counted over all files; a term of no template counts as one that no file has. Every line and every whole file is a unit;
-its vector is compared with each template's, and the best template of cosine `min_similarity` or more is the file's own
-licence. Units that cannot reach that are left out beforehand, exactly: without one of a template's essential terms (the
-rarest ones, until the weight of the others falls below the bound) the cosine stays below it.
+Terms are runs of letters, digits and inner `.+-`, lower-cased. Inverse document frequencies are counted over all files.
+Every line and every whole file is a unit; its vector is compared with each template's, and the best template of cosine
+`min_similarity` or more is the file's own licence. Units that cannot reach that are left out beforehand, exactly: without
+one of a template's essential terms (the rarest ones, until the weight of the others falls below the bound) the cosine
+stays below it, and so it does if terms of no template keep it there at the least weight a term can have, that of one in
+every file. Only for the units then left are the frequencies of such terms counted.
 
 Files without a licence of their own take that of the nearest directory above them, where files that speak for their
 directory (by default those named like licence files) state one; the most frequent licence of a directory counts. The
@@ -24,7 +25,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import broadcast_if_small, written
+from .store import BROADCAST_ROWS, broadcast_if_small, written
 from .text import without
 
 # Notices by which files state well-known licences.
@@ -39,6 +40,7 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 MIN_SIMILARITY = 0.8
+_ROUNDED = 1e-6  # similarities are rounded to six places before they meet the bound
 TERM = r"[\p{L}\p{N}]+(?:[.+-][\p{L}\p{N}]+)*"
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying|unlicense)([.-].*)?$"
 _OUTPUTS = ("license", "how", "similarity", "directory")
@@ -49,13 +51,18 @@ def _terms(text: str) -> list[str]:
     return re.findall(TERM.replace(r"\p{L}\p{N}", r"^\W_"), text.lower())
 
 
-def _frequencies(files: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
-    """Files, and files that hold each term."""
-    words = F.regexp_extract_all(F.lower("_q_text"), F.lit(TERM), 0)
-    held = F.array_intersect(words, F.array(*map(F.lit, terms)))
-    counts = files.select(F.explode(F.concat(F.coalesce(held, F.array().cast("array<string>")), F.array(F.lit("")))).alias("term"))
-    found = {r.term: r.n for r in counts.groupBy("term").agg(F.count("*").alias("n")).collect()}
-    return found.pop("", 0), found
+def _frequencies(files: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n): files that hold each of the distinct terms."""
+    words = files.select(F.explode(F.array_distinct(_words("_q_text"))).alias("term"))
+    counted = F.count("*").alias("n")
+    if terms.count() <= BROADCAST_ROWS:
+        return words.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(counted)
+    # Partial sums move, not words.
+    return words.groupBy("term").agg(counted).join(terms, "term", "left_semi")
+
+
+def _words(column: str) -> Column:
+    return F.regexp_extract_all(F.lower(column), F.lit(TERM), 0)
 
 
 def _vectors(templates: dict[str, str], idf: dict[str, float]) -> dict[str, dict[str, float]]:
@@ -81,15 +88,22 @@ def _essential(vectors: dict[str, dict[str, float]], bound: float) -> list[str]:
     return sorted(out)
 
 
+def _counted(units: DataFrame) -> DataFrame:
+    """(_q_digest, line, term, tf) of units (_q_digest, u)."""
+    words = units.select("_q_digest", "u.line", F.explode(_words("u.text")).alias("term"))
+    return words.groupBy("_q_digest", "line", "term").agg(F.count("*").alias("tf"))
+
+
 def own_licenses(files: DataFrame, templates: dict[str, str], min_similarity: float) -> DataFrame:
     """(_q_digest, license, how, similarity) of the texts of files (_q_digest, _q_text) that state a licence."""
+    spark = files.sparkSession
     terms = sorted({t for text in templates.values() for t in _terms(text)})
-    total, found = _frequencies(files, terms)
+    listed = spark.createDataFrame([(t,) for t in terms], "term string")
+    total = files.count()
+    found = {r.term: r.n for r in _frequencies(files, listed).collect()}
     idf = {t: math.log((1 + total) / (1 + found.get(t, 0))) + 1 for t in terms}
-    unknown = math.log(1 + total) + 1
     vectors = _vectors(templates, idf)
-    some = "(?i)(?<![\\p{L}\\p{N}])(" + "|".join(map(re.escape, _essential(vectors, min_similarity))) + ")(?![\\p{L}\\p{N}])"
-    spark = files.sparkSession
+    some = "(?i)(?<![\\p{L}\\p{N}])(" + "|".join(map(re.escape, _essential(vectors, min_similarity - _ROUNDED))) + ")(?![\\p{L}\\p{N}])"
     by_term: dict[str, dict[str, float]] = defaultdict(dict)
     for name, weights in vectors.items():
         for term, w in weights.items():
@@ -99,13 +113,20 @@ def own_licenses(files: DataFrame, templates: dict[str, str], min_similarity: fl
     hit = files.where(F.col("_q_text").rlike(some)).groupBy("_q_digest").agg(F.first("_q_text").alias("_q_text"))
     lines = F.transform(F.split("_q_text", "\n"), lambda line, k: F.struct((k + 1).alias("line"), line.alias("text")))
     units = hit.select("_q_digest", F.explode(F.concat(F.array(F.struct(F.lit(0).alias("line"), F.col("_q_text").alias("text"))), F.filter(lines, lambda x: x["text"].rlike(some)))).alias("u"))
-    words = units.select("_q_digest", "u.line", F.explode(F.regexp_extract_all(F.lower("u.text"), F.lit(TERM), 0)).alias("term"))
-    counted = words.groupBy("_q_digest", "line", "term").agg(F.count("*").alias("tf")).join(weights, "term", "left")
-    weighted = counted.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    norms = weighted.groupBy("_q_digest", "line").agg(F.sum(F.col("w") * F.col("w")).alias("square"))
-    dots = weighted.where("templates is not null").select("_q_digest", "line", "w", F.explode("templates").alias("license", "v"))
+    counted = _counted(units).join(weights, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(1.0)))
+    square = F.sum(F.col("w") * F.col("w"))
+    norms = counted.groupBy("_q_digest", "line").agg(square.alias("least"), F.coalesce(F.sum(F.when(F.col("idf").isNotNull(), F.col("w") * F.col("w"))), F.lit(0.0)).alias("known"))
+    dots = counted.where("templates is not null").select("_q_digest", "line", "w", F.explode("templates").alias("license", "v"))
     dots = dots.groupBy("_q_digest", "line", "license").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    cosine = dots.join(norms, ["_q_digest", "line"]).select("_q_digest", "line", "license", F.round(F.col("dot") / F.sqrt("square"), 6).alias("similarity"))
+    near = dots.join(norms, ["_q_digest", "line"]).where(F.col("dot") / F.sqrt("least") >= min_similarity - _ROUNDED)
+    near = written(near.select("_q_digest", "line", "license", "dot", "known"), "near")
+    left = units.join(broadcast_if_small(near.select("_q_digest", F.col("line").alias("_q_line")).distinct()), "_q_digest").where("u.line = _q_line")
+    others = written(_counted(left.select("_q_digest", "u")).join(F.broadcast(listed), "term", "left_anti"), "others")
+    held = written(_frequencies(files, others.select("term").distinct()), "frequencies")
+    squares = others.join(broadcast_if_small(held), "term").withColumn("w", F.col("tf") * (F.log((1 + F.lit(total)) / (1 + F.col("n"))) + 1))
+    squares = squares.groupBy("_q_digest", "line").agg(square.alias("unknown"))
+    norm = F.sqrt(F.col("known") + F.coalesce("unknown", F.lit(0.0)))
+    cosine = near.join(squares, ["_q_digest", "line"], "left").select("_q_digest", "line", "license", F.round(F.col("dot") / norm, 6).alias("similarity"))
     best = F.max(F.struct("similarity", (-F.col("line")).alias("l"), F.col("license"))).alias("x")
     least = cosine.where(F.col("similarity") >= min_similarity)
     # Of equally good ones the first line, then the first template by name.

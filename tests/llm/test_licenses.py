@@ -97,3 +97,21 @@ def test_edge_rows(edge, none):
     got = L.scan_licenses(edge.withColumn("path", F.concat_ws("/", "source", "lang")))
     assert got.count() == edge.count() and got.where("license is not null").count() == 0
     assert L.scan_licenses(none.withColumn("path", F.lit("x"))).count() == 0
+
+
+def test_same_files_many_times(spark):
+    """A notice stays one however often the same files are there: weights are of shares of the files, for all terms."""
+    fill = [(f"f/{k}", f"this program is a work of its own, a document of {k} words under the version here") for k in range(40)]
+    notices = [("n/1", "This program is licensed under the GNU General Public License, version 3."), ("n/2", "code\nThis document is licensed under CC BY 4.0.\ncode")]
+    # Words of the notices that no template holds are common; those of the templates are there too.
+    rest = [(f"r/{k}", f"{x} with more words that are {'different ' * 30}") for k, x in enumerate(L.TEMPLATES.values())]
+    few = spark.createDataFrame([*fill, *notices, *rest], "path string, text string")
+    from pyspark.sql import functions as F
+
+    def own(df):
+        got = L.scan_licenses(df).where("path like 'n/%'").distinct().collect()
+        return {r.path: (r.license, r.how, r.similarity) for r in got}
+
+    once, often = own(few), own(few.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(400)))).drop("k"))
+    assert {p: x[:2] for p, x in once.items()} == {p: x[:2] for p, x in often.items()} == {"n/1": ("GPL-3.0", "file"), "n/2": ("CC-BY-4.0", "header")}
+    assert all(abs(once[p][2] - often[p][2]) < 0.05 for p in once)
