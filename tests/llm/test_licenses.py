@@ -115,3 +115,24 @@ def test_same_files_many_times(spark):
     once, often = own(few), own(few.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(400)))).drop("k"))
     assert {p: x[:2] for p, x in once.items()} == {p: x[:2] for p, x in often.items()} == {"n/1": ("GPL-3.0", "file"), "n/2": ("CC-BY-4.0", "header")}
     assert all(abs(once[p][2] - often[p][2]) < 0.05 for p in once)
+
+
+def test_texts_headers_and_identifiers(spark):
+    texts = {p.stem: p.read_text() for p in L.TEXTS.glob("*.txt")}
+    apache = L.all_templates()["Apache-2.0"][3]
+    words = apache.split()
+    wrapped = "\n".join("# " + " ".join(words[k : k + 9]) for k in range(0, len(words), 9))
+    cases = [(f"{name}/LICENSE", f"Some Title\n\nCopyright (c) 2024 Jane Doe\n\n{text}", name) for name, text in texts.items()]
+    cases += [
+        ("h/a.py", f"#!/usr/bin/python\n# Copyright 2024 Jane Doe\n#\n{wrapped}\n\nimport os\n" + "x = os.y(z)\n" * 99, "Apache-2.0"),
+        ("h/b.py", "# Licensed under the Apache\n# License, Version 2.0.\ncode = 1\n", "Apache-2.0"),
+        ("h/c.c", "/*\n" + texts["MIT"] + "*/\nint main;\n" + "call(x);\n" * 99, "MIT"),
+        ("h/d.py", "# Copyright 2024 Jane Doe. Released under the MIT License.\ncode = 1", "MIT"),
+        ("h/e.rs", "// SPDX-License-Identifier: MIT\ncode", "MIT"), ("h/f.c", "/* SPDX-License-Identifier: GPL-2.0-or-later */\ncode", "GPL-2.0"),
+        ("h/g.rs", "// SPDX-License-Identifier: Zlib\ncode", None),
+        ("h/h.py", "# This program is free software: you can redistribute it and/or modify it under\n# the terms of the GNU Affero General Public License as published by the\n# Free Software Foundation, either version 3 of the License, or (at your\n# option) any later version.\nx", "AGPL-3.0"),
+        ("h/i.md", "Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("h/j.py", "x = 1\n" * 50, None),
+    ]
+    assert len(texts) == 16
+    got = {r.path: r.license for r in L.scan_licenses(spark.createDataFrame([c[:2] for c in cases], "path string, text string")).where("coalesce(how, '') != 'inherited'").collect()}
+    assert got == {p: name for p, _, name in cases}
