@@ -3,7 +3,9 @@
 Each page is read in one pass. Text blocks are the text between block-level tags; a block's path is the chain of
 block-level tags from the root to it (inline tags do not count). Blocks inside elements that are boilerplate by name,
 role, or class (menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) are
-out. Text length and punctuation are aggregated by path; both ratios, per block of the path, are smoothed over the
+out: a class or id counts as such where it is such a word, or one joined with other such or neutral words. Names that
+only contain one (`has-sidebar`, `comments-open`) are weak: blocks inside stay where their paths, which are kept apart from
+other paths, are content, or beside such a block. Text length and punctuation are aggregated by path; both ratios, per block of the path, are smoothed over the
 blocks in page order with a short Gaussian, fused by product, and paths whose mean reaches half a standard deviation are
 content. The article is the enclosing `article` or `main` element of the content blocks, or else their common ancestor
 less the blocks that neither have a content path nor stand beside such a block.
@@ -50,41 +52,57 @@ OUT_WORDS = frozenset(
     "related recommended recommendations comment comments commentlist disqus reply replies respond widget widgets toolbar "
     "pagination pager search copyright skip tags".split()
 )
+# Words that leave a compound with one of the above what it is.
+NEUTRAL = frozenset(
+    "main site page top bottom primary secondary global mobile desktop box bar wrap wrapper container inner outer list area block "
+    "section group item items link links button buttons icon icons title heading header body text post posts entry article".split()
+)
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 HEADER = frozenset({"header"})
 
 _TAG = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
 _REST = re.compile(r"""[^>"']*+(?:"[^"<]*+"[^>"']*+|'[^'<]*+'[^>"']*+)*+>""")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_WORD = re.compile(r"[a-z]+")
+# One attribute after another, so that values are passed over.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_JOINTS = re.compile(r"[^a-z0-9]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Element:
-    __slots__ = ("name", "out", "path", "parent", "article")
+    __slots__ = ("name", "out", "path", "parent", "article", "weak")
 
-    def __init__(self, name: str, parent: _Element | None, out: bool, article: bool):
+    def __init__(self, name: str, parent: _Element | None, out: bool, article: bool, weak: bool = False):
         self.name, self.parent, self.out, self.article = name, parent, out, article
-        self.path = (parent.path if parent else "") + ("" if name in INLINE else "/" + name)
+        self.path = (parent.path if parent else "") + ("" if name in INLINE else "/" + name) + ("~" if weak else "")
+        self.weak = weak or (parent is not None and parent.weak)
+
+
+def _named(value: str, words: frozenset[str]) -> bool | None:
+    """Whether names of a class or id are boilerplate; None: a name has such a word, but says something else too."""
+    weak = False
+    for name in value.split():
+        parts = {x for x in _JOINTS.split(name) if x and not x[0].isdigit()}
+        if not parts.isdisjoint(words):
+            if parts <= words | NEUTRAL:
+                return True
+            weak = True
+    return None if weak else False
 
 
-def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
+def _boilerplate(name: str, attributes: str, in_article: bool) -> bool | None:
+    """Whether an element is boilerplate; None if its names are weak."""
     if name in OUT_TAGS or (name == "header" and not in_article):
         return True
     if not attributes or name in ("html", "body"):
         return False
+    own: dict[str, str] = {}
     for key, *values in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), next((v for v in values if v), "").lower()
-        if key == "role" and value.strip() in OUT_ROLES:
-            return True
-        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and _HIDDEN.search(value)):
-            return True
-        if key in ("class", "id"):
-            words = set(_WORD.findall(value))
-            if not words.isdisjoint(OUT_WORDS) or (not in_article and not words.isdisjoint(HEADER)):
-                return True
-    return False
+        own.setdefault(key.lower(), next((v for v in values if v), "").lower())
+    if own.get("role", "").strip() in OUT_ROLES or "hidden" in own or own.get("aria-hidden") == "true" or _HIDDEN.search(own.get("style", "")):
+        return True
+    named = [_named(own[key], OUT_WORDS if in_article else OUT_WORDS | HEADER) for key in ("class", "id") if key in own]
+    return True if True in named else None if None in named else False
 
 
 def blocks(page: str) -> list[tuple[_Element, str]]:
@@ -153,7 +171,8 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
                     here = here.parent
         article = here.article or name in ("article", "main")
         in_article = here.article or name == "article"
-        here = _Element(name, here, here.out or _boilerplate(name, attributes, in_article and _inside(here, "article")), article)
+        out = here.out or _boilerplate(name, attributes, in_article and _inside(here, "article"))
+        here = _Element(name, here, bool(out), article, out is None)
     close_block()
     return found
 
@@ -219,16 +238,20 @@ def main_text(page: str | None) -> str:
             k += 1
         common = common[:k]
     article = next((e for e in common if e.name == "article"), None) or next((e for e in common if e.name == "main"), None)
+    beside = {id(e.parent) for e in chosen}
+
+    def stays(e: _Element) -> bool:
+        return not e.weak or e.path in paths or id(e.parent) in beside
+
     if article is None:
         articles = {id(a) for e in chosen for a in _ancestors(e) if a.name in ("article", "main")}
-        inside = [t for e, t in found if any(id(a) in articles for a in _ancestors(e))]
+        inside = [t for e, t in found if stays(e) and any(id(a) in articles for a in _ancestors(e))]
         if articles and sum(map(len, inside)) * 2 > sum(len(t) for e, t in found if e.path in paths):
             return " ".join(inside)
         root = next((e for e in common[::-1] if e.name not in ("p", "li", "pre", "blockquote", "td", "h1", "h2", "h3", "h4", "h5", "h6")), common[0])
-        beside = {id(e.parent) for e in chosen}
         kept = [t for e, t in found if root in _ancestors(e) and (e.path in paths or id(e.parent) in beside)]
     else:
-        kept = [t for e, t in found if article in _ancestors(e)]
+        kept = [t for e, t in found if article in _ancestors(e) and stays(e)]
     return " ".join(kept)
 
 

@@ -80,3 +80,24 @@ def test_frame_cases(spark):
     assert got.columns == ["page_id", "url", "html", "text", "n_chars"]
     assert sorted(((r.page_id, r.text, r.n_chars) for r in got.collect()), key=repr) == sorted([(1, "", 0), (None, TEXT, len(TEXT)), (2, TEXT, len(TEXT)), (2, TEXT, len(TEXT))], key=repr)
     assert extract_text(spark.createDataFrame([], schema)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<p>Text, with <a href="/the-hidden-cost">a link</a>, of it.</p>', '<p title="A hidden gem">Text, with a link, of it.</p>',
+        '<p>Text, with <a href="/post?id=comment-3">a link</a>, of it.</p>', '<p data-id="search">Text, with a link, of it.</p>',
+        "<article class='post comments-open'><p>Text, with a link, of it.</p></article>", '<div class="content has-sidebar"><p>Text, with a link, of it.</p></div>',
+        "<p data-hidden=x aria-label='role=dialog' data-class=ad>Text, with a link, of it.</p>",
+        "<p>Text, with a link, of it.</p><div class='site-footer'>Rights.</div><div id='comment-3'>A comment, here.</div><div CLASS=x HIDDEN>No.</div>",
+    ],
+)
+def test_names_of_attributes_and_classes(page):
+    assert main_text(f"<body>{page}</body>") == "Text, with a link, of it."
+
+
+def test_weak_names_follow_their_paths():
+    long = "".join(f"<p>Paragraph {k}, with words; and words, and a sentence. Then one more sentence.</p>" for k in range(8))
+    page = f"<article class='post comments-open'><h1>Title</h1>{long}<div class='menu-of-day'><ul><li>Go</li><li>Up</li></ul></div></article>"
+    text = main_text(page)
+    assert text.startswith("Title Paragraph 0,") and text.endswith("sentence.") and "Paragraph 7" in text
