@@ -67,3 +67,84 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        ruled.source, soft_failed, round(host_rate, 6) AS host_rate, host_rate >= 0.6 AS host_failed
 FROM ruled JOIN rates ON ruled.source IS NOT DISTINCT FROM rates.source
 """
+
+OP11 = r"""
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+WINDOW g AS (PARTITION BY t)
+"""
+
+OP12 = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+), placed AS (
+  SELECT piece, lang, generate_subscripts(ws, 1) AS k, unnest(ws) AS w FROM pieces
+), windows AS (
+  SELECT lang, w AS w1, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3, lead(w, 3) OVER p AS w4
+  FROM placed WINDOW p AS (PARTITION BY piece ORDER BY k)
+), f AS MATERIALIZED (
+  SELECT lang, [w1] AS g, 1 AS m, count(*) AS c FROM windows GROUP BY ALL UNION ALL
+  SELECT lang, [w1, w2], 2, count(*) FROM windows WHERE w2 IS NOT NULL GROUP BY ALL UNION ALL
+  SELECT lang, [w1, w2, w3], 3, count(*) FROM windows WHERE w3 IS NOT NULL GROUP BY ALL UNION ALL
+  SELECT lang, [w1, w2, w3, w4], 4, count(*) FROM windows WHERE w4 IS NOT NULL GROUP BY ALL
+), words AS (
+  SELECT lang, CAST(sum(c) AS bigint) AS n FROM f WHERE m = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, g, m, c AS a FROM f WHERE m > 1 AND c >= 30
+), cuts AS (
+  SELECT x.lang, x.g, x.a, x.k, l.c AS l, r.c AS r, CAST(2000000::hugeint * x.a // (l.c + r.c) AS bigint) AS score
+  FROM (SELECT lang, g, a, m, unnest(range(1, m)) AS k FROM candidates) AS x
+  JOIN f AS l ON l.lang = x.lang AND l.g = x.g[1:x.k]
+  JOIN f AS r ON r.lang = x.lang AND r.g = x.g[x.k + 1:x.m]
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, g[s:s + z - 1] AS g, max(a) AS longest FROM (
+    SELECT lang, g, a, z, unnest(range(1, m - z + 2)) AS s
+    FROM (SELECT lang, g, a, m, unnest(range(2, m)) AS z FROM candidates))
+  GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(lowest.g, ' ')) AS rank,
+       array_to_string(lowest.g, ' ') AS phrase, a, l, r, n, score
+FROM lowest LEFT JOIN longer USING (lang, g) JOIN words USING (lang)
+WHERE longest IS NULL OR 100 * longest < 80 * a
+QUALIFY rank <= 2000
+"""
+
+_NEAR = """near{i} AS MATERIALIZED (
+  SELECT vec_id, p, m % 64 AS e, m // 64 AS d FROM (
+    SELECT vec_id, parts.p, min(64 * list_sum(list_transform(range(1, w + 1), lambda j: (x[j] - y[j]) * (x[j] - y[j])))::bigint + e) AS m
+    FROM parts JOIN book{i} AS b ON parts.p = b.p GROUP BY vec_id, parts.p)
+)"""
+_BOOK = """book{j} AS MATERIALIZED (
+  SELECT p, e, coalesce(z, y) AS y FROM book{i} LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY j) AS z FROM (
+      SELECT parts.p, e, j, sum(x[j])::bigint AS s, count(*) AS n
+      FROM parts JOIN near{i} AS a ON a.vec_id = parts.vec_id AND a.p = parts.p, LATERAL (SELECT unnest(range(1, w + 1)) AS j)
+      GROUP BY parts.p, e, j)
+    GROUP BY p, e) USING (p, e)
+)"""
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS double)) AS bigint)) AS v, len(embedding) // 16 AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, p, w, v[p * w + 1:(p + 1) * w] AS x FROM kept, range(16) AS positions(p)
+), book0 AS MATERIALIZED (
+  SELECT p, e, x AS y FROM parts JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64) USING (vec_id)
+), {_NEAR.format(i=0)}, {_BOOK.format(i=0, j=1)}, {_NEAR.format(i=1)}, {_BOOK.format(i=1, j=2)}, {_NEAR.format(i=2)},
+codes AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS bigint) AS error FROM near2 GROUP BY vec_id
+), checksum AS (
+  SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (vec_id), checksum
+"""

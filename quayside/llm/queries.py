@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .codes import compress
+from .copies import mark_copies
 from .counts import count_document_tokens
 from .decontaminate import find_contamination
 from .html import extract_text
 from .licenses import scan_licenses
 from .minhash import find_classes
 from .mix import mix
-from .oracle import OP2, OP4
+from .oracle import OP2, OP4, OP11, OP12, OP13
 from .pack import pack
+from .phrases import collocations
 from .quality import judge
 from .shard import with_shards
 from .store import table
@@ -73,7 +76,25 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_shards(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
+def op11_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_copies(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"), carry=["vec_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack, op2_decontaminate, op3_mix, op4_quality, op5_html, op6_minhash, op7_licenses, op8_substrings, op9_token_counts, op10_shard)
+    f.__name__: f
+    for f in (
+        op1_pack, op2_decontaminate, op3_mix, op4_quality, op5_html, op6_minhash, op7_licenses, op8_substrings,
+        op9_token_counts, op10_shard, op11_copies, op12_phrases, op13_codes,
+    )
+}
+ORACLE: dict[str, str] = {
+    "op2_decontaminate": OP2, "op4_quality": OP4, "op11_copies": OP11, "op12_phrases": OP12, "op13_codes": OP13,
 }
-ORACLE: dict[str, str] = {"op2_decontaminate": OP2, "op4_quality": OP4}

@@ -9,7 +9,7 @@ from quayside.llm.queries import ORACLE, QUERIES
 
 def test_registered():
     names = entry_points.queries()
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(QUERIES) <= set(names) and "pipeline" in names
 
 
@@ -18,7 +18,7 @@ def test_registered():
 def test_matches_sql(spark, sf, name, folder):
     path = sf.rsplit("/", 1)[0] + "/" + folder
     duck = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}/{t}.parquet')")
     got = QUERIES[name](spark, path)
     want = duck.sql(ORACLE[name])
