@@ -2,11 +2,11 @@
 
 Texts are lower-cased (A-Z), cut at `[.,;:!?` and line ends into pieces, and pieces at blanks and tabs into words. Counting
 follows the HAT-trie: within a task words get ids, and every position of a piece adds its longest phrase of up to four
-words to a trie of its language. The trie's first levels are nodes by word id; below them hash containers count the rest
-of the phrase, and a container that grows beyond `BURST` bursts into a node of smaller ones. Shorter phrases need no entry
-of their own: their counts are the sums over their subtrees.
+words to a trie of its language. Hash containers, each shared by the phrases of `SHARED` first words, count them; a
+container that grows beyond `BURST` bursts into a node with a container a word, and so on by the next words. Shorter
+phrases need no entry of their own: their counts are the sums over their subtrees.
 
-When a task's tries hold `HELD` entries, its largest subtrees leave it whole, as runs sorted by phrase, until half is
+When a task's tries hold `HELD` entries, its largest subtrees leave it whole, as one run sorted by phrase, until half is
 left; the runs are written to the shared folder. They are dealt out by ranges of phrases, so that a prefix however
 frequent is split where it has many continuations, and each range is merged in order: equal phrases add up, and with them
 all their prefixes, in memory for one batch. A prefix that reaches across ranges sums up once more in a small aggregation.
@@ -36,23 +36,27 @@ from .text import flat
 WORDS, LEAST, TOP = 4, 30, 2000
 #: A longer candidate with so many hundredths of the count covers a shorter one.
 COVERS = 80
-#: Entries of a container before it bursts, entries and words a task holds, and entries that leave at once.
-BURST, HELD, VOCABULARY, LEAVING = 8192, 1_500_000, 1 << 20, 1 << 16
-#: Bytes of text cut into words at a time, and words put into a trie at a time.
-CHUNK, BLOCK = 1 << 20, 1 << 19
-_BITS = 21
+#: Entries of a container before it bursts, entries and words a task holds, and rows of a run that leave at once.
+BURST, HELD, VOCABULARY, LEAVING = 1 << 16, 1_500_000, 1 << 18, 1 << 16
+#: Bytes of text cut into words at a time (far fewer than ids have room for), and words put into a trie at a time.
+CHUNK, BLOCK = 1 << 19, 1 << 21
+#: Bits of a word id, and first words that share a container: four ids less what the container says fit 63 bits.
+_BITS, SHARED = 19, 64
 _MASK = (1 << _BITS) - 1
+_TOP = _BITS * (WORDS - 1)
+_ENDS = [bytes((c,)) for c in b" \t\n\x0b\x0c\r.,;:!?"]
 _CUT = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
-_CONTROL = bytes(c for c in range(32) if c not in b"\t\n\x0b\x0c\r")
 _ESCAPE = 0x7F
-RUNS = "lang string, phrase string, n long"
+_LOW = bytes((*range(33), _ESCAPE))
+#: A run's key is language, tab, phrase; no language or word holds a byte up to the blank (see `escaped`).
+RUNS = "key string, n long"
 
 
 def escaped(word: bytes) -> bytes:
-    """The word without characters below the blank, so that phrases sort as their words do."""
-    if word.translate(None, _CONTROL) == word and _ESCAPE not in word:
+    """The word without bytes up to the blank, so that keys sort as their words do."""
+    if word.translate(None, _LOW) == word:
         return word
-    return b"".join(bytes((_ESCAPE, c + 64)) if c < 32 else bytes((_ESCAPE, _ESCAPE)) if c == _ESCAPE else bytes((c,)) for c in word)
+    return b"".join(bytes((_ESCAPE, c + 64)) if c <= 32 else bytes((_ESCAPE, _ESCAPE)) if c == _ESCAPE else bytes((c,)) for c in word)
 
 
 def unescaped(phrase: bytes) -> bytes:
@@ -78,64 +82,61 @@ class _Ids(dict):
         return at
 
 
-class Trie:
-    """Phrases of one language: nodes by word id, containers of counts by the packed ids of the other words."""
+class Node:
+    """Containers of counts by the id of a word, or by SHARED of them at the root; keys are the bits below."""
 
-    def __init__(self, depth: int = 1) -> None:
-        self.depth = depth
-        self.children: dict[int, Counter | Trie] = {}
+    def __init__(self, bits: int) -> None:
+        self.bits = bits
+        self.children: dict[int, Counter | Node] = {}
         self.sizes: dict[int, int] = {}
 
-    def add(self, words: np.ndarray, rest: np.ndarray, counts: np.ndarray | None = None) -> int:
-        """Add phrases of a first word and packed others, ordered by first word; gives the number of new entries."""
-        cuts = np.flatnonzero(np.diff(words, prepend=-1))
+    def add(self, ids: np.ndarray, keys: np.ndarray, counts: np.ndarray | None = None) -> int:
+        """Add keys to the children of these ids, which are in order; gives the number of new entries."""
+        cuts = np.flatnonzero(np.diff(ids, prepend=-1))
         new = 0
-        for word, low, high in zip(words[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(words)]):
-            given = rest[low:high]
-            child = self.children.get(word)
-            if isinstance(child, Trie):
-                more = child.add(*_next_word(given, self.depth, None if counts is None else counts[low:high]))
+        for child_id, low, high in zip(ids[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(ids)]):
+            given, times = keys[low:high], None if counts is None else counts[low:high]
+            child = self.children.get(child_id)
+            if isinstance(child, Node):
+                more = child.split(given, times)
             else:
                 if child is None:
-                    child = self.children[word] = Counter()
+                    child = self.children[child_id] = Counter()
                 before = len(child)
-                if counts is None:
-                    child.update(given.tolist())
-                else:
-                    child.update(dict(zip(given.tolist(), counts[low:high].tolist())))
+                child.update(given.tolist() if times is None else dict(zip(given.tolist(), times.tolist())))
                 more = len(child) - before
-                if len(child) > BURST and self.depth < WORDS - 1:
-                    self.children[word] = self._burst(child)
-            self.sizes[word] = self.sizes.get(word, 0) + more
+                if len(child) > BURST and self.bits > _BITS:
+                    node = self.children[child_id] = Node(_TOP if self.bits > _TOP else self.bits - _BITS)
+                    node.split(*_arrays(child))
+            self.sizes[child_id] = self.sizes.get(child_id, 0) + more
             new += more
         return new
 
-    def _burst(self, container: Counter) -> Trie:
-        keys, counts = _arrays(container)
-        node = Trie(self.depth + 1)
-        node.add(*_next_word(keys, self.depth, counts))
-        return node
+    def split(self, keys: np.ndarray, counts: np.ndarray | None) -> int:
+        """Add keys by their next word."""
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        return self.add(keys >> self.bits, keys & ((1 << self.bits) - 1), None if counts is None else counts[order])
 
     def leave(self, entries: int) -> list[int]:
-        """The words of the largest subtrees that together hold so many entries."""
+        """The largest subtrees that together hold so many entries."""
         out, total = [], 0
-        for word in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
+        for child_id in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
             if total >= entries:
                 break
-            out.append(word)
-            total += self.sizes[word]
+            out.append(child_id)
+            total += self.sizes[child_id]
         return out
 
-    def entries(self, word: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Packed ids of all but the first word, and counts, of one subtree."""
-        child = self.children[word]
-        if not isinstance(child, Trie):
+    def entries(self, child_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Keys and counts of one subtree."""
+        child = self.children[child_id]
+        if not isinstance(child, Node):
             yield _arrays(child)
             return
-        shift = _BITS * (WORDS - 1 - self.depth)
-        for then in child.children:
-            for keys, counts in child.entries(then):
-                yield keys | (then << shift), counts
+        for below in child.children:
+            for keys, counts in child.entries(below):
+                yield keys | (below << child.bits), counts
 
 
 def _arrays(container: Counter) -> tuple[np.ndarray, np.ndarray]:
@@ -143,25 +144,17 @@ def _arrays(container: Counter) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(container.keys(), np.int64, n), np.fromiter(container.values(), np.int64, n)
 
 
-def _next_word(packed: np.ndarray, depth: int, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    """Phrases by their next word: those words in order, the rest, and the counts along."""
-    shift = _BITS * (WORDS - 1 - depth)
-    order = np.argsort(packed, kind="stable")
-    packed = packed[order]
-    return packed >> shift, packed & ((1 << shift) - 1), None if counts is None else counts[order]
-
-
 def longest_phrases(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First word and packed others of the longest phrase at each word of a run of ids; ids 0 end a piece."""
+    """Container and key of the longest phrase at each word of a run of ids; ids 0 end a piece."""
     padded = np.concatenate([ids, np.zeros(WORDS - 1, np.int64)])
     n = len(ids)
     word = padded[:n]
-    packed, open_ = np.zeros(n, np.int64), word > 0
+    packed, open_ = word % SHARED, word > 0
     for j in range(1, WORDS):
         at = padded[j : n + j]
         open_ = open_ & (at > 0)
         packed = packed << _BITS | np.where(open_, at, 0)
-    return word[word > 0], packed[word > 0]
+    return (word // SHARED)[word > 0], packed[word > 0]
 
 
 class Counting:
@@ -184,7 +177,7 @@ class Counting:
                 found = found[found >= 0]
                 ids.append(found)
                 size += len(found)
-                if size >= BLOCK:
+                if size >= BLOCK or len(self.ids) > VOCABULARY:
                     # the last words open phrases that go on: they come again with the next block
                     run = np.concatenate(ids)
                     yield from self._count(lang, run[: len(run) - WORDS + 1], run[len(run) - WORDS + 1 :])
@@ -206,7 +199,7 @@ class Counting:
         here = int((run > 0).sum())
         words, packed = words[:here], packed[:here]
         order = np.argsort(words, kind="stable")
-        trie = self.tries.setdefault(lang, Trie())
+        trie = self.tries.setdefault(lang, Node(_BITS * WORDS))
         self.held += trie.add(words[order], packed[order])
         self._tail = None
         if len(self.ids) > VOCABULARY:
@@ -223,7 +216,7 @@ class Counting:
                 break
             trie = self.tries[lang]
             leaving = trie.leave(entries)
-            yield from words.runs(lang, trie, leaving)
+            yield from words.run(lang, trie, leaving)
             gone = sum(trie.sizes.pop(w) for w in leaving)
             for w in leaving:
                 del trie.children[w]
@@ -234,7 +227,7 @@ class Counting:
         """Everything that is left, as sorted runs."""
         words = _Words(self.ids)
         for lang, trie in self.tries.items():
-            yield from words.runs(lang, trie, list(trie.children))
+            yield from words.run(lang, trie, list(trie.children))
         self._start()
 
 
@@ -248,39 +241,33 @@ class _Words:
         self.rank = np.zeros(len(names) + 1, np.int64)
         self.rank[sorted(range(1, len(names) + 1), key=lambda i: names[i - 1])] = np.arange(1, len(names) + 1)
 
-    def runs(self, lang: str, trie: Trie, leaving: list[int]) -> Iterator[pa.RecordBatch]:
-        """Sorted rows of these subtrees, LEAVING or one subtree at a time."""
-        waiting, size = [], 0
-        for word in sorted(leaving, key=self.rank.__getitem__):
-            for rest, counts in trie.entries(word):
-                waiting.append((np.full(len(rest), word, np.int64), rest, counts))
-                size += len(rest)
-            if size >= LEAVING:
-                yield from self._sorted(lang, waiting)
-                waiting, size = [], 0
-        if waiting:
-            yield from self._sorted(lang, waiting)
-
-    def _sorted(self, lang: str, waiting: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        first, rest, counts = map(np.concatenate, zip(*waiting))
-        ids = [first] + [rest >> (_BITS * (WORDS - 1 - j)) & _MASK for j in range(1, WORDS)]
-        order = np.lexsort([self.rank[i] for i in ids[::-1]])
+    def run(self, lang: str, trie: Node, leaving: list[int]) -> Iterator[pa.RecordBatch]:
+        """The rows of these subtrees, sorted."""
+        found = [(np.full(len(keys), i, np.int64), keys, counts) for i in leaving for keys, counts in trie.entries(i)]
+        if not found:
+            return
+        group, keys, counts = map(np.concatenate, zip(*found))
+        ids = [group * SHARED + (keys >> _TOP)] + [keys >> (_BITS * (WORDS - 1 - j)) & _MASK for j in range(1, WORDS)]
+        first, second, third, fourth = (self.rank[i] for i in ids)
+        order = np.lexsort([third << _BITS | fourth, first << _BITS | second])
+        name = pa.scalar(escaped(lang.encode()), pa.binary())
         for low in range(0, len(order), LEAVING):
             at = order[low : low + LEAVING]
             words = [self.names.take(pa.array(i[at])) for i in ids]
-            phrases = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary()), null_handling="skip")
-            columns = [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(at), np.int64))), phrases.cast(pa.string()), pa.array(counts[at])]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n"])
+            words[0] = pc.binary_join_element_wise(name, words[0], pa.scalar(b"\t", pa.binary()))
+            # a word that is not there is a null, which joining skips
+            joined = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary()), null_handling="skip")
+            yield pa.RecordBatch.from_arrays([joined.cast(pa.string()), pa.array(counts[at])], names=["key", "n"])
 
 
 def _chunks(text: memoryview) -> Iterator[bytes]:
-    """The text in parts of about CHUNK bytes, each ending behind a blank or at the text's end."""
+    """The text in parts of about CHUNK bytes, each ending behind a word or at the text's end."""
     at, n = 0, len(text)
     while n - at > CHUNK:
         to, step = -1, CHUNK
         while to < 0 and at + step < n:
             part = bytes(text[at : at + step])
-            to = max(part.rfind(b" "), part.rfind(b"\n"))
+            to = max(map(part.rfind, _ENDS))
             step *= 2
         if to < 0:
             break
@@ -303,15 +290,14 @@ def count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each phrase the lengths of its prefixes of 1 to WORDS words; -1 where it has fewer."""
+    """For each key the lengths of its prefixes: the language, then 1 to WORDS words; -1 where it has fewer."""
     n = len(offsets) - 1
-    blanks = np.flatnonzero(data == 0x20)
-    row = np.searchsorted(offsets, blanks, "right") - 1
-    nth = np.arange(len(blanks)) - np.searchsorted(row, row)
-    ends = np.full((WORDS, n), -1, np.int64)
-    ends[nth, row] = blanks - offsets[row]
-    words = np.bincount(row, minlength=n)
-    ends[words, np.arange(n)] = offsets[1:] - offsets[:-1]
+    cuts = np.flatnonzero(data <= 0x20)
+    row = np.searchsorted(offsets, cuts, "right") - 1
+    nth = np.arange(len(cuts)) - np.searchsorted(row, row)
+    ends = np.full((WORDS + 1, n), -1, np.int64)
+    ends[nth, row] = cuts - offsets[row]
+    ends[np.bincount(row, minlength=n), np.arange(n)] = offsets[1:] - offsets[:-1]
     return ends
 
 
@@ -329,77 +315,75 @@ def _same_as_before(data: np.ndarray, offsets: np.ndarray, length: np.ndarray) -
 
 
 def merge_runs(least: int):
-    """Task: one sorted range of runs to the counts of its phrases and all their prefixes.
+    """Task: one sorted range of runs to the counts of its phrases and all their prefixes, languages included.
 
     Counts below `least` are left out, but for prefixes of the range's first and last rows, whose other parts may lie
-    in other ranges.
+    in other ranges, and for languages.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # by level: (lang, prefix, count so far, is it the first of the range)
-        open_: list[tuple[str, bytes, int, bool] | None] = [None] * WORDS
-        started = [False] * WORDS
+        # by level: prefix, count so far, whether it is the first of the range
+        open_: list[tuple[bytes, int, bool] | None] = [None] * (WORDS + 1)
         for batch in batches:
-            langs = batch.column("lang")
-            data, offsets = flat(batch.column("phrase"))
+            data, offsets = flat(batch.column("key"))
             n = batch.column("n").to_numpy()
             if not len(n):
                 continue
-            new_lang = np.ones(len(n), bool)
-            new_lang[1:] = pc.not_equal(langs[1:], langs[:-1]).to_numpy(zero_copy_only=False)
-            found: list[tuple[str, bytes, int, int]] = []
+            found: list[tuple[bytes, int, int]] = []
             for level, length in enumerate(_ends(data, offsets)):
-                has = np.flatnonzero(length > 0)
+                has = np.flatnonzero(length > 0) if level else np.arange(len(n))
                 if not len(has):
                     continue
-                same = _same_as_before(data, offsets, length) & ~new_lang
+                same = _same_as_before(data, offsets, length)
                 starts = np.flatnonzero(~same[has])
                 sums = np.add.reduceat(n[has], starts).tolist()
                 rows = has[starts]
 
-                def at(i: int) -> tuple[str, bytes]:
+                def prefix(i: int) -> bytes:
                     r = int(rows[i])
-                    return langs[r].as_py(), data[offsets[r] : offsets[r] + length[r]].tobytes()
-
-                lang, prefix = at(0)
-                before = open_[level]
-                if before and before[:2] == (lang, prefix):
-                    sums[0] += before[2]
-                    edge = before[3]
-                else:
-                    if before and (before[2] >= least or before[3]):
-                        found.append((before[0], before[1], level + 1, before[2]))
-                    edge = not started[level]
-                started[level] = True
-                last = len(sums) - 1
-                if last and (edge or sums[0] >= least):
-                    found.append((lang, prefix, level + 1, sums[0]))
-                closed = np.flatnonzero(np.array(sums[1:last]) >= least) + 1 if last > 1 else []
-                found += [(*at(i), level + 1, sums[i]) for i in map(int, closed)]
-                open_[level] = (*at(last), sums[last], edge and not last)
+                    return data[offsets[r] : offsets[r] + length[r]].tobytes()
+
+                before, edge, last = open_[level], open_[level] is None, len(sums) - 1
+                if before and before[0] == prefix(0):
+                    sums[0] += before[1]
+                    edge = before[2]
+                elif before and (before[1] >= least or before[2]):
+                    found.append((before[0], level, before[1]))
+                if last:
+                    whole = np.array(sums[:last]) >= (least if level else 0)
+                    whole[0] |= edge
+                    found += [(prefix(i), level, sums[i]) for i in np.flatnonzero(whole).tolist()]
+                open_[level] = (prefix(last), sums[last], edge and not last)
             yield _counted(found)
-        yield _counted([(o[0], o[1], i + 1, o[2]) for i, o in enumerate(open_) if o])
+        yield _counted([(o[0], level, o[1]) for level, o in enumerate(open_) if o])
 
     return work
 
 
-def _counted(rows: list[tuple[str, bytes, int, int]]) -> pa.RecordBatch:
-    lang, phrase, words, n = zip(*rows) if rows else ((), (), (), ())
-    columns = [pa.array(lang, pa.string()), pa.array([unescaped(p).decode() for p in phrase], pa.string()), pa.array(words, pa.int32()), pa.array(n, pa.int64())]
+def _counted(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
+    keys = [[unescaped(part).decode() for part in key.split(b"\t")] for key, _, _ in rows]
+    columns = [
+        pa.array([k[0] for k in keys], pa.string()), pa.array([k[-1] if len(k) > 1 else None for k in keys], pa.string()),
+        pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64()),
+    ]
     return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n"])
 
 
 def phrase_runs(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Sorted runs (lang, phrase, n) of all tasks, written; a phrase may occur in several."""
+    """Sorted runs (key, n) of all tasks, written; a phrase may occur in several."""
     rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    return written(rows.mapInArrow(count_runs, RUNS), "phrase-runs")
+    return written(rows.mapInArrow(count_runs, RUNS), "phrase-runs", compression="zstd")
 
 
 def frequent_phrases(runs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, phrase, words, n) of all phrases of 1 to WORDS words that occur `least` times or more."""
-    ranges = runs.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
+    """(lang, phrase, words, n) of all phrases of 1 to WORDS words that occur `least` times or more.
+
+    A row of no words and a null phrase holds a language's number of words: every word begins one counted phrase.
+    """
+    ranges = runs.repartitionByRange("key").sortWithinPartitions("key")
     counts = ranges.mapInArrow(merge_runs(least), "lang string, phrase string, words int, n long")
-    return counts.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    total = counts.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+    return total.where((F.col("n") >= least) | (F.col("words") == 0))
 
 
 def score_phrases(counts: DataFrame) -> DataFrame:
@@ -434,10 +418,9 @@ def collocations(
     docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, top: int = TOP
 ) -> DataFrame:
     """Each language's first `top` phrases: lang, rank, phrase, a, l, r, n, score."""
-    runs = phrase_runs(docs, text, lang)
-    # every word begins one counted phrase
-    words = broadcast_if_small(runs.groupBy("lang").agg(F.sum("n").alias("n")))
-    scored = score_phrases(written(frequent_phrases(runs, least), "phrases")).withColumn(
+    counts = written(frequent_phrases(phrase_runs(docs, text, lang), least), "phrases")
+    words = broadcast_if_small(counts.where("words = 0").select("lang", "n"))
+    scored = score_phrases(counts.where("words > 0")).withColumn(
         "rank", F.expr("cast(row_number() over (partition by lang order by score desc, a desc, phrase) as long)")
     )
     return scored.where(F.col("rank") <= top).join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

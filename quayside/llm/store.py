@@ -11,10 +11,10 @@ from ..session import shared_dir
 BROADCAST_ROWS = 100_000
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """df as a Parquet table in the shared folder: an executor lost later costs no recomputation of it."""
     path = shared_dir(df.sparkSession, f"llm-{purpose}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
