@@ -20,13 +20,14 @@ from ..operators.align import align, with_constants
 from ..operators.convert import coerce_to_target, convert
 from ..operators.profile import as_text, suggest_rules
 from ..operators.rejects import FAILED, split_rejects
-from ..session import shared_dir
+from ..session import compiled_session, shared_dir
 from ..sinks.bulk_text import split_bulk, write_bulk_text
-from ..sources.files import scan_parquet, select_files, source_stats
+from ..sinks.once import Folder
+from ..sources.files import footer_counts, scan_parquet, select_files, source_stats
 from ..spec import LoadSpec
-from ..streaming.ingest import ingest_files, stream_parquet
-from ..streaming.ledger import parse_text_ledger, pending_files
-from ..tables import CatalogTable
+from ..streaming.ingest import ingest_files, ingest_table, stream_parquet
+from ..streaming.ledger import Ledger, parse_text_ledger, pending_files
+from ..tables import CatalogTable, slice_predicates
 from .load import copy_table, run, transform
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -287,7 +288,7 @@ VENDOR_TYPES = {
 )
 def coerce_target(spark: SparkSession, sf: str) -> DataFrame:
     raw = table(
-        spark, sf, "lineitem",
+        compiled_session(spark), sf, "lineitem",
         "l_orderkey `order`", "l_linenumber line", "l_partkey part", "l_suppkey supplier",
         "cast(cast(l_quantity * 6 as int) as string) as_tinyint",
         "case l_returnflag when 'A' then concat(' ', l_linenumber) else cast(l_linenumber as string) end as_bit",
@@ -424,10 +425,15 @@ def suggested_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def file_stats(spark: SparkSession, sf: str) -> DataFrame:
-    stats = [source_stats(table(spark, sf, t)) for t in TABLES]
-    return reduce(DataFrame.unionAll, stats).select(
-        F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "row_count"
-    )
+    counts = footer_counts(spark, [f"{sf}/{t}.parquet" for t in TABLES])
+    return counts.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "row_count")
+
+
+@query("SELECT 'lineitem' AS source, count(*) AS row_count FROM lineitem UNION ALL SELECT 'orders', count(*) FROM orders")
+def rows_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each file of a scan, added up by source: a scan that reads no column."""
+    stats = [source_stats(table(spark, sf, t)).select(F.lit(t).alias("source"), "row_count") for t in ("lineitem", "orders")]
+    return reduce(DataFrame.unionAll, stats).groupBy("source").agg(F.sum("row_count").alias("row_count"))
 
 
 # one file per event: its name carries the clock time, its age is the event's time
@@ -467,6 +473,11 @@ def select_token(spark: SparkSession, sf: str) -> DataFrame:
 )
 def ledger_pending(spark: SparkSession, sf: str) -> DataFrame:
     files = event_files(spark, sf)
+    return pending_files(files, reduce(DataFrame.unionAll, event_entries(files))).select("path")
+
+
+def event_entries(files: DataFrame) -> list[DataFrame]:
+    """Two waves of ledger entries, the later of which changes some of the earlier."""
     started = files.where("event_type <> 'error'").selectExpr(
         "path", "case event_type when 'purchase' then 'complete' else 'started' end status",
         "modified_at completed_at",
@@ -475,7 +486,21 @@ def ledger_pending(spark: SparkSession, sf: str) -> DataFrame:
         "path", "case event_type when 'purchase' then 'failed' else 'complete' end status",
         "modified_at + interval 1 hour completed_at",
     )
-    return pending_files(files, started.unionAll(ended)).select("path")
+    return [started, ended]
+
+
+@query(
+    f"""SELECT '/in/' || {DUCK_NAME} AS path FROM events
+        WHERE event_type NOT IN ('view', 'click')"""
+)
+def ledger_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files against a ledger whose first wave has become its bucketed history."""
+    files, ledger = event_files(spark, sf), Ledger(spark, shared_dir(spark, "ledger"))
+    started, ended = event_entries(files)
+    ledger.take_over(started)
+    ledger.compact()
+    ledger.take_over(ended)
+    return ledger.pending(files).select("path")
 
 
 @query(
@@ -725,3 +750,135 @@ def bulk_file(spark: SparkSession, sf: str) -> DataFrame:
     lines, _ = split_bulk(table(spark, sf, "nation", "n_nationkey", "n_name"))
     write_bulk_text(lines, path)
     return spark.read.option("lineSep", "\r\n").text(path)
+
+
+# -- loads that split, verify, and write once ------------------------------------
+
+
+def rejected(spark: SparkSession, spec: LoadSpec, *columns: str) -> DataFrame:
+    """Rejects of a load: the failing columns and these others, all as text."""
+    bad = spark.read.parquet(spec.rejects_path)
+    return bad.select(F.array_join(FAILED, ",").alias("failed"), *[F.col(c).cast("string").alias(c) for c in columns])
+
+
+@query(
+    """WITH judged AS (
+         SELECT *, concat_ws(',', CASE WHEN p_type = 'ECONOMY' THEN 'price' END,
+                             CASE WHEN p_name LIKE 'red%' THEN 'size' END,
+                             CASE WHEN p_size > 40 THEN 'made' END) AS failed
+         FROM part)
+       SELECT failed, CAST(p_partkey AS varchar) AS p_partkey,
+              CASE WHEN p_type = 'ECONOMY' THEN CAST(p_retailprice AS varchar) || ' EUR'
+                   WHEN failed <> '' THEN CAST(p_retailprice AS varchar)
+                   ELSE CAST(CAST(p_retailprice AS decimal(15,2)) AS varchar) END AS price
+       FROM judged"""
+)
+def load_split(spark: SparkSession, sf: str) -> DataFrame:
+    """A load that splits good rows from rejects in one pass over its files."""
+    base = shared_dir(spark, "split")
+    dirty_part(spark, sf).write.parquet(f"{base}/in")
+    target = new_table(spark, "p_partkey BIGINT, price DECIMAL(15,2), size BIGINT, made STRING")
+    spec = LoadSpec(
+        root=base, source_file_expression="/in", with_log=2, ledger_path=f"{base}/ledger", verify_files=True,
+        rejects_path=f"{base}/rejects", map_data_fields="price=numeric,size=bigint,made=date1",
+    )
+    run(spark, spec, target)
+    good = spark.table(target.table).selectExpr("'' failed", "cast(p_partkey as string) p_partkey", "cast(price as string) price")
+    return good.unionByName(rejected(spark, spec, "p_partkey", "price"))
+
+
+@query(
+    """WITH sent AS (
+         SELECT o_orderkey, o_orderstatus, unnest(CASE o_orderstatus WHEN 'P' THEN [1, 2, 3] ELSE [1] END) AS copy FROM orders
+         UNION ALL SELECT NULL, 'x', 1 UNION ALL SELECT NULL, 'y', 1
+       ), counted AS (
+         SELECT o_orderkey, count(*) AS n, CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS known FROM sent
+         WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey)
+       SELECT '' AS failed, CAST(o_orderkey AS varchar) AS k, 1 AS rows FROM counted UNION ALL
+       SELECT '', NULL, 2 UNION ALL
+       SELECT 'k', CAST(o_orderkey AS varchar), n - 1 + known FROM counted WHERE n - 1 + known > 0"""
+)
+def load_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A load whose rows may hold keys that the table has, or that come twice: the first row of a key is loaded."""
+    base = shared_dir(spark, "keys")
+    orders = table(spark, sf, "orders")
+    sent = orders.selectExpr("o_orderkey k", "explode(if(o_orderstatus = 'P', array(1, 2, 3), array(1))) copy")
+    sent.unionAll(spark.sql("SELECT NULL, 1 UNION ALL SELECT NULL, 1")).write.parquet(f"{base}/in")
+    target = new_table(spark, "copy INT, K BIGINT")
+    orders.where("o_orderkey % 10 = 0").selectExpr("0 copy", "o_orderkey k").write.insertInto(target.table)
+    spec = LoadSpec(
+        root=base, source_file_expression="/in", with_log=2, ledger_path=f"{base}/ledger",
+        rejects_path=f"{base}/rejects", key_columns="k",
+    )
+    run(spark, spec, target)
+    good = spark.table(target.table).selectExpr("'' failed", "cast(K as string) k")
+    bad = rejected(spark, spec, "K").selectExpr("lower(failed) failed", "K k")
+    return good.unionAll(bad).groupBy("failed", "k").agg(F.count("*").alias("rows"))
+
+
+@query(
+    """SELECT CASE WHEN length(c_name) > 15 THEN 'name' ELSE '' END AS failed, CAST(c_custkey AS varchar) AS c_custkey,
+              CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE c_name || '        ' END AS name
+       FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name || '#' ELSE substr(c_name, 1, 12) END AS c_name FROM customer)
+       WHERE length(c_name) > 15
+       UNION ALL
+       SELECT '', CAST(c_custkey AS varchar), CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE c_name || '   ' END
+       FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name || '#' ELSE substr(c_name, 1, 12) END AS c_name FROM customer)
+       WHERE length(c_name) <= 15"""
+)
+def load_widths(spark: SparkSession, sf: str) -> DataFrame:
+    """A load into a column of 15 characters: longer texts are rejects, trailing blanks beyond them are cut off."""
+    base = shared_dir(spark, "widths")
+    name = "if(c_custkey % 3 = 0, concat(c_name, '#'), substr(c_name, 1, 12))"
+    raw = table(spark, sf, "customer", "c_custkey", f"if(c_custkey % 2 = 0, {name}, concat({name}, '        ')) name")
+    raw.write.parquet(f"{base}/in")
+    target = new_table(spark, "c_custkey BIGINT, name VARCHAR(15)")
+    spec = LoadSpec(
+        root=base, source_file_expression="/in", with_log=2, ledger_path=f"{base}/ledger", rejects_path=f"{base}/rejects"
+    )
+    run(spark, spec, target)
+    good = spark.table(target.table).selectExpr("'' failed", "cast(c_custkey as string) c_custkey", "name")
+    return good.unionByName(rejected(spark, spec, "c_custkey", "name"))
+
+
+@query("SELECT o_orderkey, o_custkey, CAST(o_totalprice AS decimal(15,2)) AS o_totalprice FROM orders")
+def ingest_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream into a table whose last batches are played again, as after a crash before their commit."""
+    base, target = shared_dir(spark, "replayed"), new_table(spark, "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DECIMAL(15,2)")
+    raw = table(spark, sf, "orders")
+    for even in (0, 1):
+        raw.where(f"o_orderkey % 2 = {even}").write.mode("append").parquet(f"{base}/in")
+        for _ in range(2):
+            stream = stream_parquet(spark, f"{base}/in", raw.schema)
+            rows = align(stream, ["o_orderkey", "o_custkey", "o_totalprice"])
+            ingest_table(rows, target, f"{base}/checkpoint")
+            Folder(spark, f"{base}/checkpoint/commits").remove(str(even))
+    return spark.table(target.table)
+
+
+@query(
+    """SELECT 1 AS run, n_nationkey, n_name FROM nation WHERE n_nationkey < 0 UNION ALL
+       SELECT 2, n_nationkey, n_name FROM nation"""
+)
+def load_due(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that arrive before they are due wait beside the stream's checkpoint, and a later run loads them."""
+    base, found = shared_dir(spark, "due"), []
+    table(spark, sf, "nation").write.parquet(f"{base}/in")
+    for number, at in enumerate((datetime(2000, 1, 1), datetime(2999, 1, 1)), 1):
+        target = new_table(spark, "n_nationkey BIGINT, n_name STRING")
+        spec = LoadSpec(
+            root=base, source_file_expression="/in", with_log=1, date=at, ledger_path=f"{base}/ledger", arrivals_path=f"{base}/arrivals"
+        )
+        run(spark, spec, target)
+        found.append(spark.table(target.table).select(F.lit(number).alias("run"), "*"))
+    return reduce(DataFrame.unionAll, found)
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(l_quantity AS bigint) AS q FROM lineitem")
+def read_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """A table read in slices of equally many rows of a column whose values crowd: each row in one of them."""
+    source = CatalogTable(f"lineitem_{uuid.uuid4().hex}")
+    crowded = "cast(if(l_linenumber < 4, 7, if(l_quantity = 7, null, l_quantity)) as bigint) cut"
+    table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "cast(l_quantity as bigint) q", crowded).createOrReplaceTempView(source.table)
+    slices = slice_predicates("cut", source.slice_starts(spark, "cut", 16))
+    return source.read(spark, ["l_orderkey", "l_linenumber", "q"], predicates=slices)

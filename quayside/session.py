@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # Fixed value: the JVM leaves methods with more bytecode than this uncompiled.
 COMPILED_METHOD_LIMIT = 8000
 METHOD_LIMIT_CONF = "spark.sql.codegen.hugeMethodLimit"
+_V1_SOURCES = "spark.sql.sources.useV1SourceList"
 
 
 @contextmanager
@@ -32,6 +33,29 @@ def compiled_methods(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(METHOD_LIMIT_CONF, before)
 
 
+def compiled_session(spark: SparkSession) -> SparkSession:
+    """Sister session whose frames hold the setting of ``compiled_methods`` whenever they run."""
+    sister = _sister(spark)
+    if int(sister.conf.get(METHOD_LIMIT_CONF)) > COMPILED_METHOD_LIMIT:
+        sister.conf.set(METHOD_LIMIT_CONF, str(COMPILED_METHOD_LIMIT))
+    return sister
+
+
+def footer_session(spark: SparkSession) -> SparkSession:
+    """Sister session that reads Parquet by the source whose footers answer counts."""
+    sister = _sister(spark)
+    kept = [s for s in sister.conf.get(_V1_SOURCES).split(",") if s.strip().lower() != "parquet"]
+    sister.conf.set(_V1_SOURCES, ",".join(kept))
+    sister.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return sister
+
+
+def _sister(spark: SparkSession) -> SparkSession:
+    sister = spark.newSession()
+    sister.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return sister
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new path below the cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -52,8 +76,7 @@ def listing_session(spark: SparkSession) -> SparkSession:
     A listing reads no content, so the usual one-split-per-128-MB packing would
     cost a task per file.
     """
-    sister = spark.newSession()
-    sister.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    sister = _sister(spark)
     sister.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
     return sister
 

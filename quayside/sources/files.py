@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import footer_session
+
 # File selection modes.
 ALL, BY_MTIME, ALL_PENDING, BY_NAME_TIME = 0, 1, 2, 3
 SUCCESS_MARK = "_SUCCESS"
@@ -103,3 +105,16 @@ def source_stats(df: DataFrame) -> DataFrame:
     return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
         F.count("*").alias("row_count")
     )
+
+
+def footer_counts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """``path, row_count`` of Parquet sources, each a file or a folder: Spark answers the counts from their footers.
+
+    A source is a part of the plan, so this is for a list of sources; ``source_stats`` counts the files of one.
+    """
+    sister = footer_session(spark)
+    counts = [
+        sister.read.parquet(p).agg(F.count("*").alias("row_count")).select(F.lit(p).alias("path"), "row_count")
+        for p in paths
+    ]
+    return reduce(DataFrame.unionAll, counts)

@@ -128,6 +128,10 @@ class LoadSpec:
     # settings of this library
     merge_schema: bool = False
     rejects_path: str | None = None
+    key_columns: str = ""
+    column_width: int | None = None
+    verify_files: bool = False
+    arrivals_path: str | None = None
     int96_noon: bool = False
     wave_files: int = 10_000
 
@@ -138,6 +142,10 @@ class LoadSpec:
     def __post_init__(self) -> None:
         if self.with_log > 0 and not self.ledger_path:
             raise ValueError("with_log needs ledger_path")
+        if self.keys and not self.rejects_path:
+            raise ValueError("key_columns needs rejects_path")
+        if (self.verify_files or self.arrivals_path) and self.with_log <= 0:
+            raise ValueError("verify_files and arrivals_path need with_log")
         if self.wave_files < 1:
             raise ValueError("wave_files must be at least 1")
         if self.commit not in COMMITS:
@@ -159,6 +167,15 @@ class LoadSpec:
     def name_parts(self) -> list[str]:
         return [p for p in self.file_filter.split(",") if p]
 
+    @property
+    def keys(self) -> list[str]:
+        return [k for k in self.key_columns.split(",") if k]
+
+    @property
+    def staged(self) -> bool:
+        """Whether converted rows are written to a stage first, since more than one thing is made of them."""
+        return self.rejects_path is not None or self.verify_files
+
     @property
     def run_date(self) -> date | None:
         return self.date.date() if self.date else None

@@ -13,7 +13,10 @@ from quayside.plans.load import transform
 from quayside.session import METHOD_LIMIT_CONF, compiled_methods
 
 # queries that group or join files or ledger lines, or return a table they wrote
-SHUFFLING = {"column_order", "file_stats", "ledger_pending", "rule_int96", "suggested_rules", "text_ledger"}
+SHUFFLING = {
+    "column_order", "file_stats", "ledger_compacted", "ledger_pending", "load_keys", "rows_by_file", "rule_int96",
+    "suggested_rules", "text_ledger",
+}
 
 
 def physical(df):
