@@ -217,9 +217,7 @@ class Counting:
             trie = self.tries[lang]
             leaving = trie.leave(entries)
             yield from words.run(lang, trie, leaving)
-            gone = sum(trie.sizes.pop(w) for w in leaving)
-            for w in leaving:
-                del trie.children[w]
+            gone = sum(trie.sizes.pop(i) for i in leaving)
             entries -= gone
             self.held -= gone
 
@@ -242,8 +240,11 @@ class _Words:
         self.rank[sorted(range(1, len(names) + 1), key=lambda i: names[i - 1])] = np.arange(1, len(names) + 1)
 
     def run(self, lang: str, trie: Node, leaving: list[int]) -> Iterator[pa.RecordBatch]:
-        """The rows of these subtrees, sorted."""
-        found = [(np.full(len(keys), i, np.int64), keys, counts) for i in leaving for keys, counts in trie.entries(i)]
+        """The rows of these subtrees, sorted; the subtrees leave the trie before that."""
+        found = []
+        for i in leaving:
+            found += [(np.full(len(keys), i, np.int64), keys, counts) for keys, counts in trie.entries(i)]
+            del trie.children[i]
         if not found:
             return
         group, keys, counts = map(np.concatenate, zip(*found))
@@ -372,7 +373,9 @@ def _counted(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
 def phrase_runs(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Sorted runs (key, n) of all tasks, written; a phrase may occur in several."""
     rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    return written(rows.mapInArrow(count_runs, RUNS), "phrase-runs", compression="zstd")
+    # each text is written less what it shares with the one before
+    front_coded = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "false", "compression": "zstd"}
+    return written(rows.mapInArrow(count_runs, RUNS), "phrase-runs", **front_coded)
 
 
 def frequent_phrases(runs: DataFrame, least: int = LEAST) -> DataFrame:
