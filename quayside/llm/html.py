@@ -3,12 +3,15 @@
 Each page is read in one pass. Text blocks are the text between block-level tags; a block's path is the chain of
 block-level tags from the root to it (inline tags do not count). Blocks inside elements that are boilerplate by name,
 role, or class (menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) are
-out: a class or id counts as such where it is such a word, or one joined with other such or neutral words. Names that
-only contain one (`has-sidebar`, `comments-open`) are weak: blocks inside stay where their paths, which are kept apart from
-other paths, are content, or beside such a block. Text length and punctuation are aggregated by path; both ratios, per block of the path, are smoothed over the
+out: a class or id counts as such where it is such a word, one joined with other such or neutral words, or one that begins
+or ends with a strong one (comments, cookies, adverts) and tells no state. Names that only contain one (`has-sidebar`,
+`comments-open`) are weak: blocks inside stay where their paths, which are kept apart from other paths, are content, or
+beside such a block. A form is out unless it wraps the page: it holds the article, the main element or the first heading,
+or paragraphs with half of the page's text. Lists of three or more items that are nothing but links are out anywhere. Text length and punctuation are aggregated by path; both ratios, per block of the path, are smoothed over the
 blocks in page order with a short Gaussian, fused by product, and paths whose mean reaches half a standard deviation are
 content. The article is the enclosing `article` or `main` element of the content blocks, or else their common ancestor
-less the blocks that neither have a content path nor stand beside such a block.
+less the blocks that neither have a content path nor stand beside such a block. Of several `article` elements, one with
+less than a fifth of the text of the largest is a teaser, and out.
 
 Character references are decoded once, white space inside a block becomes one space, blocks are trimmed and joined by
 one space in page order; nothing is capped.
@@ -44,18 +47,25 @@ CLOSED_BY = {
 }
 STOPS = frozenset("ul ol dl table div article section body html select".split())
 # Boilerplate by element, by word of class or id, and by role.
-OUT_TAGS = frozenset("head nav footer aside form fieldset button select option datalist menu dialog audio video map".split())
+OUT_TAGS = frozenset("head nav footer aside fieldset label legend button select option datalist menu dialog audio video map".split())
 OUT_WORDS = frozenset(
     "nav navbar navigation menu menus topbar breadcrumb breadcrumbs sidebar sidebars aside footer masthead banner ad ads adv "
     "advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion popup modal overlay cookie "
     "cookies consent gdpr notice notices alert newsletter subscribe subscription signup login signin share sharing social "
     "related recommended recommendations comment comments commentlist disqus reply replies respond widget widgets toolbar "
-    "pagination pager search copyright skip tags".split()
+    "pagination pager search copyright skip tags rail discussion discussions".split()
 )
+# Words that make boilerplate of a name they begin or end, and words of names that tell a page's state.
+STRONG_WORDS = frozenset(
+    "comment comments commentlist discussion discussions disqus reviews cookie cookies consent gdpr advert adverts advertisement "
+    "advertisements sponsored newsletter sidebar navbar breadcrumb breadcrumbs".split()
+)
+STATES = frozenset("has have with without no not is open opened closed enabled disabled allow allowed free on off supports".split())
 # Words that leave a compound with one of the above what it is.
 NEUTRAL = frozenset(
     "main site page top bottom primary secondary global mobile desktop box bar wrap wrapper container inner outer list area block "
-    "section group item items link links button buttons icon icons title heading header body text post posts entry article".split()
+    "section group item items link links button buttons icon icons title heading header body text post posts entry article "
+    "left right center column col row".split()
 )
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 HEADER = frozenset({"header"})
@@ -65,26 +75,36 @@ _REST = re.compile(r"""[^>"']*+(?:"[^"<]*+"[^>"']*+|'[^'<]*+'[^>"']*+)*+>""")
 # One attribute after another, so that values are passed over.
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _JOINTS = re.compile(r"[^a-z0-9]+")
+_HUMPS = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Element:
-    __slots__ = ("name", "out", "path", "parent", "article", "weak")
+    __slots__ = ("name", "out", "path", "parent", "article", "weak", "form", "link")
 
     def __init__(self, name: str, parent: _Element | None, out: bool, article: bool, weak: bool = False):
         self.name, self.parent, self.out, self.article = name, parent, out, article
         self.path = (parent.path if parent else "") + ("" if name in INLINE else "/" + name) + ("~" if weak else "")
         self.weak = weak or (parent is not None and parent.weak)
+        self.form = self if name == "form" else parent.form if parent else None
+        self.link = name == "a" or (parent is not None and parent.link and name in INLINE)
+
+
+def _strong(word: str) -> bool:
+    return word in STRONG_WORDS or word.startswith("comments") or word.endswith("comments")
 
 
 def _named(value: str, words: frozenset[str]) -> bool | None:
     """Whether names of a class or id are boilerplate; None: a name has such a word, but says something else too."""
     weak = False
     for name in value.split():
-        parts = {x for x in _JOINTS.split(name) if x and not x[0].isdigit()}
-        if not parts.isdisjoint(words):
-            if parts <= words | NEUTRAL:
+        parts = [x for x in _JOINTS.split(_HUMPS.sub("-", name).lower()) if x and not x[0].isdigit()]
+        if not parts:
+            continue
+        strong = _strong(parts[0]) or _strong(parts[-1])
+        if strong or not words.isdisjoint(parts):
+            if words.union(NEUTRAL).issuperset(parts) or (strong and STATES.isdisjoint(parts)):
                 return True
             weak = True
     return None if weak else False
@@ -98,8 +118,8 @@ def _boilerplate(name: str, attributes: str, in_article: bool) -> bool | None:
         return False
     own: dict[str, str] = {}
     for key, *values in _ATTRIBUTE.findall(attributes):
-        own.setdefault(key.lower(), next((v for v in values if v), "").lower())
-    if own.get("role", "").strip() in OUT_ROLES or "hidden" in own or own.get("aria-hidden") == "true" or _HIDDEN.search(own.get("style", "")):
+        own.setdefault(key.lower(), next((v for v in values if v), ""))
+    if own.get("role", "").strip().lower() in OUT_ROLES or "hidden" in own or own.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(own.get("style", "")):
         return True
     named = [_named(own[key], OUT_WORDS if in_article else OUT_WORDS | HEADER) for key in ("class", "id") if key in own]
     return True if True in named else None if None in named else False
@@ -108,25 +128,29 @@ def _boilerplate(name: str, attributes: str, in_article: bool) -> bool | None:
 def blocks(page: str) -> list[tuple[_Element, str]]:
     """Text blocks outside boilerplate, in page order, with the block-level element each stands in."""
     found: list[tuple[_Element, str]] = []
+    wraps: set[_Element] = set()
+    linked: list[bool] = []
     here = _Element("", None, False, False)
-    pending: list[str] = []
+    pending: list[tuple[str, bool]] = []
 
     def close_block() -> None:
         if pending:
-            text = " ".join("".join(pending).split())
+            text = " ".join("".join(t for t, _ in pending).split())
+            only_links = all(link for t, link in pending if t.strip())
             pending.clear()
             if text:
                 element = here
                 while element.name in INLINE:
                     element = element.parent
                 found.append((element, text))
+                linked.append(only_links)
 
     at, n = 0, len(page)
     while at < n:
         tag = _TAG.search(page, at)
         to = tag.start() if tag else n
         if to > at and not here.out:
-            pending.append(html.unescape(page[at:to]))
+            pending.append((html.unescape(page[at:to]), here.link))
         if not tag:
             break
         if tag[1]:
@@ -145,7 +169,7 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
                 at = finish.end() if finish else n
             continue
         if name == "br":
-            pending.append(" ")
+            pending.append((" ", True))
             continue
         if name not in INLINE:
             close_block()
@@ -173,8 +197,36 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
         in_article = here.article or name == "article"
         out = here.out or _boilerplate(name, attributes, in_article and _inside(here, "article"))
         here = _Element(name, here, bool(out), article, out is None)
+        if here.form and not out and name in ("article", "main", "h1"):
+            wraps.add(here.form)
     close_block()
-    return found
+    return _without_link_lists(*_without_forms(found, linked, wraps))
+
+
+def _without_forms(
+    found: list[tuple[_Element, str]], linked: list[bool], wraps: set[_Element]
+) -> tuple[list[tuple[_Element, str]], list[bool]]:
+    """The blocks outside forms and inside those that wrap the page."""
+    if all(e.form is None for e, _ in found):
+        return found, linked
+    whole = sum(len(t) for _, t in found)
+    told: dict[_Element, int] = defaultdict(int)
+    for element, text in found:
+        if element.form and element.name == "p":
+            told[element.form] += len(text)
+    wraps = wraps | {form for form, n in told.items() if 2 * n >= whole}
+    keep = [i for i, (e, _) in enumerate(found) if e.form is None or e.form in wraps]
+    return [found[i] for i in keep], [linked[i] for i in keep]
+
+
+def _without_link_lists(found: list[tuple[_Element, str]], linked: list[bool]) -> list[tuple[_Element, str]]:
+    """The blocks but for lists of three or more items that are nothing but links."""
+    lists: dict[_Element, list[bool]] = defaultdict(list)
+    for (element, _), only_links in zip(found, linked, strict=True):
+        if element.name == "li" and element.parent:
+            lists[element.parent].append(only_links)
+    menus = {parent for parent, items in lists.items() if len(items) > 2 and all(items)}
+    return [(e, t) for e, t in found if e.name != "li" or e.parent not in menus]
 
 
 def _inside(element: _Element | None, name: str) -> bool:
@@ -223,11 +275,27 @@ def _ancestors(element: _Element) -> list[_Element]:
     return out[::-1]
 
 
+def _without_teasers(found: list[tuple[_Element, str]]) -> list[tuple[_Element, str]]:
+    """The blocks but for those of articles with less than a fifth of the text of the largest."""
+    sizes: dict[_Element, int] = defaultdict(int)
+    outermost = []
+    for element, text in found:
+        own = next((a for a in _ancestors(element) if a.name == "article"), None)
+        outermost.append(own)
+        if own:
+            sizes[own] += len(text)
+    if len(sizes) < 2:
+        return found
+    most = max(sizes.values())
+    return [x for x, own in zip(found, outermost, strict=True) if own is None or 5 * sizes[own] >= most]
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page."""
     found = blocks(page) if page else []
     if not found:
         return ""
+    found = _without_teasers(found)
     paths = content_paths(found)
     chosen = [e for e, _ in found if e.path in paths]
     common = _ancestors(chosen[0])
