@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.llm.decontaminate import remove_contamination
 from quayside.llm.minhash import keep_one
 from quayside.llm.mix import mix
 from quayside.llm.quality import keep_good
-from quayside.llm.shard import with_shards
+from quayside.llm.shard import SHARDS, default_tree, shard_of, with_shards
 from quayside.llm.store import table, written
 
 
@@ -35,13 +36,17 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once, those of small sources up to twice, in the order of the blocks' permutations."""
-    return mix(docs, positions=False).select(*docs.columns)
+    """Every document once, those of small sources up to twice, in the order of the blocks' permutations.
+
+    A file holds rows of one shard, so that their order in the mix becomes that of the shard without another shuffle.
+    """
+    shard = shard_of(F.col("doc_id"), default_tree(SHARDS))
+    return mix(docs, positions=False, files_by=shard, file_values=SHARDS).select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every row of the mix, with its document."""
-    return with_shards(docs)
+    """Shard and slot of every row of the mix, with its document; slots follow the mix."""
+    return with_shards(docs, in_place=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -29,6 +29,8 @@ from .text import without
 MAX_REPETITION = 2.0
 BLOCK_TOKENS = 1 << 18
 BUCKET_ROWS = 500
+#: Tokens of a file of a mix that is laid out by a value, about.
+FILE_TOKENS = 1 << 23
 _HALVINGS, _JOBS = 5, 8
 _OUTPUTS = ("n_tokens", "copy", "block", "position")
 _TEMPORARY = ("_q_hash", "_q_bucket", "_q_source", "_q_first", "_q_taken", "_q_order", "_q_buckets", "_q_tokens", "_q_budget", "_q_s", "_q_b")
@@ -110,11 +112,14 @@ def mix(
     docs: DataFrame, *, source: str = "source", key: str = "doc_id", text: str = "text", tokens: Column | None = None,
     max_repetition: float = MAX_REPETITION, target_entropy: float | None = None, budget: float | None = None,
     block_tokens: int = BLOCK_TOKENS, carry: list[str] | None = None, positions: bool = True,
+    files_by: Column | None = None, file_values: int = 1,
 ) -> DataFrame:
     """A row for each taken copy of a document: the columns `carry` (default: all), n_tokens, copy, block and position.
 
     copy counts the passes over a source from 0. With positions=False the rows come in the order of their blocks and
-    permutations within each file written, and have no position.
+    permutations within each file written, and have no position. `files_by`, an integer below `file_values`, then deals
+    them out: a file holds rows of one value, and of two files of a value the one with the lower part number holds the
+    earlier blocks.
     """
     base = without(docs, (*_OUTPUTS, *_TEMPORARY))
     carry = base.columns if carry is None else carry
@@ -149,6 +154,11 @@ def mix(
     at = (F.col("copy") * F.col("_q_tokens") + start) / F.col("_q_budget")
     out = copied.withColumn("block", F.least(F.floor(at * blocks), F.lit(blocks - 1)).cast("long"))
     out = out.withColumn("_q_order", F.xxhash64("_q_hash", "copy", "block"))
+    if not positions and files_by is not None:
+        cuts = max(1, -(-blocks * block_tokens // (file_values * FILE_TOKENS)))
+        part = (files_by * cuts + F.least(F.lit(cuts - 1), F.floor(F.col("block") * cuts / blocks))).cast("int")
+        laid = out.repartitionById(file_values * cuts, part).sortWithinPartitions("block", "_q_order")
+        return laid.select(*carry, "n_tokens", "copy", "block")
     if not positions:
         return out.repartition("block").sortWithinPartitions("block", "_q_order").select(*carry, "n_tokens", "copy", "block")
     place = Window.partitionBy("block").orderBy("_q_order", "copy", "n_tokens")

@@ -65,3 +65,35 @@ def test_stages_on_edge_rows(spark, edge, sf, tmp_path):
 def test_stages_on_an_empty_table(spark, none, sf, tmp_path):
     *_, sharded = staged(spark, none.drop("Size", "KEPT"), sf, tmp_path)
     assert sharded.count() == 0
+
+
+def test_slots_follow_the_mix(spark, sf, tmp_path):
+    """Blocks and permutations survive into every shard's slots, and copies of a document do not lie side by side."""
+    from quayside.llm.mix import mix
+
+    docs = spark.read.parquet(f"{sf.rsplit('/', 1)[0]}/sf0.01/documents.parquet")
+    P.mixing(spark, docs, sf).write.parquet(str(tmp_path / "mixed"))
+    sharded = P.sharding(spark, spark.read.parquet(str(tmp_path / "mixed")), sf)
+    # the texts do not move again
+    plan = sharded._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in "".join(line for line in plan.split("\n") if "Exchange" in line) and "Window [" not in plan.split("Scan parquet")[0]
+    shards = {}
+    for r in sharded.select("shard", "slot", "doc_id").collect():
+        shards.setdefault(r.shard, {})[r.slot] = r.doc_id
+    order = {}
+    for r in mix(docs, carry=["doc_id"]).orderBy("block", "position").collect():
+        order.setdefault(shard_of_key(r.doc_id, P_TREE), []).append(r.doc_id)
+    assert {s: [rows[k] for k in range(len(rows))] for s, rows in shards.items()} == order
+    copies = sum(n - 1 for n in Counter(d for rows in order.values() for d in rows).values())
+    beside = sum(a == b for rows in order.values() for a, b in zip(rows, rows[1:]))
+    assert copies > 100 and beside == 0
+
+
+def test_files_of_several_shards_are_numbered_by_hash(spark, docs, sf, tmp_path):
+    docs.write.parquet(str(tmp_path / "plain"))
+    plain = spark.read.parquet(str(tmp_path / "plain"))
+    rows = P.sharding(spark, plain, sf).select("doc_id", "shard", "slot").collect()
+    from quayside.llm.shard import with_shards
+
+    assert sorted(rows) == sorted(with_shards(docs).select("doc_id", "shard", "slot").collect())
+    assert sorted(rows) == sorted(P.sharding(spark, plain.where("doc_id is not null"), sf).select("doc_id", "shard", "slot").collect())

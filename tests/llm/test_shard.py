@@ -90,3 +90,16 @@ def test_weights_move_rows_only_in_their_subtree(spark):
 
 def test_empty(none):
     assert with_shards(none).count() == 0
+
+
+def test_growth_from_few_shards_takes_rows_only_into_the_new_one(spark):
+    from quayside.llm.shard import with_shards
+
+    keys = spark.range(3000).selectExpr("id doc_id", "'x' text")
+    for shards, base in ((1, None), (5, None), (10, None), (20, None), (7, 5)):
+        rows = with_shards(keys, shards=shards, base_shards=base).collect()
+        moved = [r for r in rows if r.grown_shard != r.shard]
+        assert {r.grown_shard for r in moved} == {shards} and {r.shard for r in rows} == set(range(shards))
+        assert 0.5 < len(moved) / (3000 / (shards + 1)) < 1.5
+    six = {r.doc_id: r.grown_shard for r in with_shards(keys, shards=5).collect()}
+    assert six == {r.doc_id: r.shard for r in with_shards(keys, shards=6, base_shards=5).collect()}
