@@ -65,7 +65,8 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"]).drop("removed")
+    found = remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("repeated"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,9 +43,11 @@ def rows():
     return rows + rows[20:22]
 
 
-@pytest.mark.parametrize("bucket", [4096, 2])
-def test_matches_brute_force(spark, rows, monkeypatch, bucket):
+@pytest.mark.parametrize(("bucket", "broadcast"), [(4096, 2_000_000), (2, 2_000_000), (4096, 0), (2, 0)])
+def test_matches_brute_force(spark, rows, monkeypatch, bucket, broadcast):
+    """Also where buckets are dealt out by string, and where hashes and contexts are too many to be broadcast."""
     monkeypatch.setattr(S, "BUCKET", bucket)
+    monkeypatch.setattr(S, "BROADCAST_HASHES", broadcast)
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, N_BYTES string").repartition(4)
     got = S.remove_repeats(df)
     found = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect())
