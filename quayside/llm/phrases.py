@@ -37,9 +37,9 @@ WORDS, LEAST, TOP = 4, 30, 2000
 #: A longer candidate with so many hundredths of the count covers a shorter one.
 COVERS = 80
 #: Entries of a container before it bursts, entries and words a task holds, and rows of a run that leave at once.
-BURST, HELD, VOCABULARY, LEAVING = 1 << 16, 1_500_000, 1 << 18, 1 << 16
+BURST, HELD, VOCABULARY, LEAVING = 1 << 16, 1_000_000, 1 << 18, 1 << 16
 #: Bytes of text cut into words at a time (far fewer than ids have room for), and words put into a trie at a time.
-CHUNK, BLOCK = 1 << 19, 1 << 21
+CHUNK, BLOCK = 1 << 19, 1 << 20
 #: Bits of a word id, and first words that share a container: four ids less what the container says fit 63 bits.
 _BITS, SHARED = 19, 64
 _MASK = (1 << _BITS) - 1
