@@ -303,7 +303,7 @@ def _run_copy(spark: SparkSession, spec: LoadSpec, target: Table, source: Table)
     observed = Observation()
     read = {
         "partitions": spec.read_partitions, "partition_on": spec.partition_on,
-        "predicates": spec.predicates,
+        "predicates": spec.predicates, "equal_rows": spec.equal_rows > 0,
     }
     rows = copied_rows(spark, source, target, spec.source_columns, **read)
     target.write(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from typing import Any
 
 from pyspark.sql import SparkSession
 
@@ -59,7 +61,8 @@ def _sister(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new path below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only a local session without that setting falls back to a temporary folder.
+    Frames read what is there as long as their session lives, so it is removed when the driver's Python ends; a driver
+    that is killed leaves it.  Only a local session without that setting falls back to a temporary folder.
     """
     conf = spark.sparkContext.getConf()
     base = spark.conf.get("spark.checkpoint.dir", conf.get("spark.checkpoint.dir"))
@@ -67,7 +70,21 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="quayside-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    _LEFT.append((at.getFileSystem(spark._jsc.hadoopConfiguration()), at))
+    return path
+
+
+#: File system and path of what this driver has put into shared folders.
+_LEFT: list[tuple[Any, Any]] = []
+
+
+@atexit.register
+def _remove_left() -> None:
+    for fs, at in _LEFT:
+        with suppress(Exception):  # the JVM may have gone before
+            fs.delete(at, True)
 
 
 def listing_session(spark: SparkSession) -> SparkSession:

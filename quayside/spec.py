@@ -123,6 +123,7 @@ class LoadSpec:
     source_columns: str = "*"
     partition_on: str | None = None
     read_partitions: int | None = None
+    equal_rows: int = 0
     predicates: tuple[str, ...] = ()
     commit: str = "partition"
     # settings of this library

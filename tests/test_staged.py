@@ -369,3 +369,18 @@ def test_entry_points_stand_without_a_package_of_the_removable_part():
         "assert 'load_orders' in e.queries() and not any(n.startswith('op') or n == 'pipeline' for n in e.queries())"
     )
     subprocess.run([sys.executable, "-W", "ignore", "-c", code], check=True, cwd=ROOT_OF_TESTS)
+
+
+def test_shared_folders_go_with_the_driver(tmp_path):
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from quayside.session import shared_dir\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', '{tmp_path}').getOrCreate()\n"
+        "path = shared_dir(spark, 'x')\n"
+        "spark.range(3).write.parquet(path)\n"
+        "assert spark.read.parquet(path).count() == 3\n"
+        "spark.stop()"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=ROOT_OF_TESTS, capture_output=True)
+    assert not list(tmp_path.glob("*x-*"))
