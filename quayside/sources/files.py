@@ -79,19 +79,28 @@ def scan_parquet(
     return df if condition is None else df.where(condition)
 
 
-def list_files(spark: SparkSession, path: str, name_parts: Iterable[str] = ()) -> DataFrame:
-    """``path, name, modified_at, size`` of a directory's files; no content is read."""
+def list_files(
+    spark: SparkSession, path: str, name_parts: Iterable[str] = (), extension: str = "", recursive: bool = False
+) -> DataFrame:
+    """``path, name, modified_at, size`` of a directory's files; no content is read.
+
+    ``extension`` is the end of the names, in the case given; ``recursive`` lists the folders below as well.  Empty files
+    are not listed.
+    """
     parts = list(name_parts)
-    reader = spark.read.format("binaryFile")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if parts:
         reader = reader.option("pathGlobFilter", name_glob(parts))
+    elif extension:
+        reader = reader.option("pathGlobFilter", f"*{escape_glob(extension)}")
     files = reader.load(path).select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.col("modificationTime").alias("modified_at"),
         F.col("length").alias("size"),
     )
-    return files.where(name_predicate(F.col("name")))
+    files = files.where(name_predicate(F.col("name")))
+    return files.where(F.endswith("name", F.lit(extension))) if extension else files
 
 
 def select_files(files: DataFrame, mode: int, run_at: datetime | None = None) -> DataFrame:

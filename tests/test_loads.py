@@ -94,6 +94,15 @@ def test_listing(spark, folder):
     assert name_glob(["a", "{"]) == r"{*a*,*\{*}"
 
 
+def test_listing_by_extension(spark, folder):
+    (folder / "deep").mkdir()
+    for name in ("x.txt", "y.parquet.txt", "x.TXT", "txt", "deep/z.txt", "deep/a_.txt"):
+        (folder / name).write_text("x")
+    assert names(list_files(spark, str(folder), extension=".txt")) == ["x.txt", "y.parquet.txt"]
+    assert names(list_files(spark, str(folder), extension=".txt", recursive=True)) == ["a_.txt", "x.txt", "y.parquet.txt", "z.txt"]
+    assert names(list_files(spark, str(folder), ["a_"], ".parquet")) == ["a_103000_0.parquet"]
+
+
 @pytest.mark.parametrize(
     "mode, run_at, expected",
     [

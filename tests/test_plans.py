@@ -71,3 +71,10 @@ def test_split_converts_once(spark, sf):
         # one projection holds the conversion, where its common parts are evaluated once
         nodes = [x for x in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "[eE]" in x]
         assert len(nodes) == 1 and "Project" in nodes[0]
+
+
+def test_table_copies_stay_compilable(spark, sf):
+    """The coerced table runs in methods the JVM compiles, in a session of its own."""
+    df = QUERIES["coerce_target"](spark, sf)
+    assert int(df.sparkSession.conf.get(METHOD_LIMIT_CONF)) <= 8000 < int(spark.conf.get(METHOD_LIMIT_CONF))
+    assert df.count() > 0
