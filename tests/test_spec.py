@@ -173,6 +173,41 @@ def test_rows_without_a_value_have_a_connection_of_their_own(spark, monkeypatch)
     assert df.count() == 5 and seen["predicates"] == ["k IS NULL"] and seen["numPartitions"] == "4"
 
 
+def test_slices_of_equal_rows_are_asked_of_the_database(spark, monkeypatch):
+    seen = {}
+
+    class Reader:
+        def format(self, _):
+            return self
+
+        def options(self, **_):
+            return self
+
+        def option(self, name, value):
+            seen[name] = value
+            return self
+
+        def load(self):
+            return spark.sql("SELECT * FROM VALUES (3), (7), (7), (9) AS t(first_value)")
+
+        def jdbc(self, url, table, predicates, properties):
+            seen["predicates"] = predicates
+            return spark.range(2)
+
+    monkeypatch.setattr(type(spark), "read", property(lambda self: Reader()))
+    table = JdbcTable("MYSQL", "h", "1", "db", "t")
+    table.read(spark, partition_on="k", partitions=4, equal_rows=True)
+    assert "NTILE(4) OVER (ORDER BY k)" in seen["query"]
+    assert seen["predicates"] == ["(k < 7 OR k IS NULL)", "k >= 7 AND k <= 7", "k > 7 AND k < 9", "k >= 9"]
+    # the keys of a load are read the same way they are cut: by the first column that has an order
+    monkeypatch.setattr(JdbcTable, "schema", lambda self, spark: spark.sql("SELECT 'x' a, 1 b").schema)
+    monkeypatch.setattr(JdbcTable, "read", lambda self, spark, columns, **how: seen.update(how))
+    table.key_rows(spark, ["a", "B"])
+    assert (seen["partition_on"], seen["partitions"]) == ("B", None)
+    table.key_rows(spark, ["a"])
+    assert (seen["partition_on"], seen["partitions"]) == (None, 1)
+
+
 def test_path_in_a_gap_of_the_session_zone(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
