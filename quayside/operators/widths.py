@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import Outcome
-from .align import quoted
 
 # Fixed value: where Spark keeps the declared type of a CHAR or VARCHAR column, of catalog and JDBC tables alike.
 DECLARED = "__CHAR_VARCHAR_TYPE_STRING"

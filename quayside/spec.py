@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, fields
 from datetime import date, datetime
 from typing import Any, NamedTuple
 
