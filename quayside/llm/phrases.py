@@ -233,11 +233,15 @@ class _Words:
     """Words by id, and their ranks in byte order."""
 
     def __init__(self, ids: _Ids) -> None:
-        names = [escaped(w) for w in list(ids)[2:]]
+        names = list(ids)[2:]
+        whole = b"".join(names)
+        if len(whole.translate(None, _LOW)) < len(whole):
+            names = list(map(escaped, names))
         # id 0 stands for a word that is not there
         self.names = pa.array([None, *names], pa.binary())
         self.rank = np.zeros(len(names) + 1, np.int64)
-        self.rank[sorted(range(1, len(names) + 1), key=lambda i: names[i - 1])] = np.arange(1, len(names) + 1)
+        if names:
+            self.rank[1:] = pc.rank(self.names[1:], tiebreaker="first").to_numpy()
 
     def run(self, lang: str, trie: Node, leaving: list[int]) -> Iterator[pa.RecordBatch]:
         """The rows of these subtrees, sorted; the subtrees leave the trie before that."""
