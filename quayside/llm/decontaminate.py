@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .store import written
-from .text import ALNUM, LOWER_CODES, covered, flat, gram_hashes, inside_one, slices, span_hashes, spans, without
+from .text import ALNUM, LOWER_CODES, SMALL_SLICE_BYTES, covered, flat, gram_hashes, inside_one, slices, span_hashes, spans, without
 
 WINDOW = 13
 MIN_SHARE = 0.05
@@ -86,7 +86,7 @@ def _matcher(items, window: int, text: str, columns: list[str], more: bool, min_
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(items.value, window)
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SMALL_SLICE_BYTES):
             data, offsets = flat(batch.column(text))
             starts, ends, counts = spans(data, offsets, ALNUM)
             words = span_hashes(data, starts, ends, LOWER_CODES)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .store import checkpointed, written
-from .text import ALNUM, LOWER_CODES, flat, gram_hashes, inside_one, mix, slices, span_hashes, spans, without
+from .text import ALNUM, LOWER_CODES, SMALL_SLICE_BYTES, flat, gram_hashes, inside_one, mix, slices, span_hashes, spans, without
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -40,6 +40,8 @@ REGISTERS = BANDS * ROWS
 #: Members of a bucket, and bytes of their texts, that one task compares with as many others at once.
 BLOCK = 2048
 BLOCK_BYTES = 1 << 22
+#: Texts whose points are drawn at once: each has some 1,300, however short it is.
+DRAWN = 128
 #: Rows (node and text key) of the set of texts to verify that may be broadcast, 40 MB at most.
 BROADCAST_TEXTS = 500_000
 _OUTPUTS = ("class_id", "class_size", "kept")
@@ -93,7 +95,16 @@ def _points(owner, gram, weight, horizon, block: int):
 
 
 def signatures(owner: np.ndarray, gram: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
-    """ProbMinHash signature of each of n texts that have shingles; rows of the others stay zero."""
+    """ProbMinHash signature of each of n texts that have shingles; rows of the others stay zero. owner rises."""
+    out = np.zeros((n, REGISTERS), np.uint64)
+    for low in range(0, n, DRAWN):
+        own = slice(*np.searchsorted(owner, [low, low + DRAWN]))
+        out[low : low + DRAWN] = _drawn(owner[own] - low, gram[own], count[own], min(DRAWN, n - low))
+    return out
+
+
+def _drawn(owner: np.ndarray, gram: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+    """The signatures of a few texts."""
     out = np.zeros((n, REGISTERS), np.uint64)
     weight = count.astype(np.float64)
     total = np.bincount(owner, weight, minlength=n)
@@ -121,7 +132,7 @@ def signatures(owner: np.ndarray, gram: np.ndarray, count: np.ndarray, n: int) -
 
 def _sketcher(text: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SMALL_SLICE_BYTES):
             n = batch.num_rows
             owner, gram, count = shingles(batch.column(text))
             drawn = signatures(owner, gram, count, n)
@@ -188,8 +199,8 @@ def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
 
 
 def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for half in slices(batches, "text_a"):
-        for batch in slices([half], "text_b"):
+    for half in slices(batches, "text_a", SMALL_SLICE_BYTES):
+        for batch in slices([half], "text_b", SMALL_SLICE_BYTES):
             sims = similarities(batch.column("text_a"), batch.column("text_b"))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sims)], names=["a", "b", "similarity"])
 

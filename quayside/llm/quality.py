@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .store import broadcast_if_small, written
-from .text import BYTE_CODES, NON_SPACE, covered, flat, gram_hashes, inside_one, mix, per_text, slices, span_hashes, spans, without
+from .text import BYTE_CODES, NON_SPACE, SMALL_SLICE_BYTES, covered, flat, gram_hashes, inside_one, mix, per_text, slices, span_hashes, spans, without
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -83,7 +83,7 @@ def text_counts(texts: pa.Array) -> list[np.ndarray]:
 
 def _counter(text: str, columns: list[str]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SMALL_SLICE_BYTES):
             counts = [pa.array(c.astype(np.int64)) for c in text_counts(batch.column(text))]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in columns] + counts, names=[*columns, *COUNTS])
 

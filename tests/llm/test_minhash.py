@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -120,6 +121,26 @@ def test_signature_estimates_probability_jaccard():
     assert set(drawn[2]) == set(gram[owner == 2]) and len(set(drawn[4])) == 1
 
 
+def test_points_of_many_short_texts_are_drawn_by_parts():
+    """Memory follows a part of the texts, not their number; the parts do not change a signature."""
+    texts = pa.array([None if k % 7 == 0 else " ".join(f"w{k * j % 301}" for j in range(k % 40)) for k in range(2 * M.DRAWN + 9)])
+    owner, gram, count = M.shingles(texts)
+    drawn = M.signatures(owner, gram, count, len(texts))
+    for k in (0, 1, 6, M.DRAWN - 1, M.DRAWN, 2 * M.DRAWN, len(texts) - 1):
+        alone = M.signatures(*M.shingles(texts[k : k + 1]), 1)
+        assert (alone[0] == drawn[k]).all()
+
+    def peak(n):
+        found = M.shingles(pa.array([f"a{k} b{k} c{k} d{k} e{k} f{k}" for k in range(n)]))
+        tracemalloc.start()
+        M.signatures(*found, n)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most - n * M.REGISTERS * 8  # without the result
+
+    assert peak(1500) < 1.5 * peak(M.DRAWN)
+
+
 def test_weighted_similarity():
     left, right = "a b c d e " * 6 + "f g h i j k", "a b c d e " * 3 + "f g h i j k q"
     got = M.similarities(pa.array([left, "x", None]), pa.array([right, "", "a"]))
